@@ -1,0 +1,11 @@
+"""Operators for preparing training data: one module for each operator.
+
+Functions that run in Python workers are pickled by value, so that executors
+need no installed copy of this package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
