@@ -24,7 +24,7 @@ MOST_REPEATS = 2
 BLOCK_WORDS = 64
 SLOTS_PER_SHARD = 4096
 SEED = 20
-_ROWS_PER_BUCKET = 2000
+_ROWS_PER_BUCKET = 250
 _CHUNK = 512
 
 
@@ -110,7 +110,8 @@ def mix(placed: DataFrame, block_words: int = BLOCK_WORDS, slots_per_shard: int
     named by (sid, start). Null texts and texts without words have no pieces;
     an empty table gives no rows; repeated rows lie one after the other.
     """
-    return slots(placed, slots_per_shard, seed).join(pieces(placed, block_words), ["sid", "block"])
+    # Slots are exploded after a shuffle of few rows, from whose size Spark would take them for a table to broadcast.
+    return slots(placed, slots_per_shard, seed).hint("merge").join(pieces(placed, block_words).hint("merge"), ["sid", "block"])
 
 
 def taken_words(placed: DataFrame, mixed: DataFrame) -> DataFrame:
