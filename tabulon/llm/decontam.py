@@ -15,7 +15,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -68,11 +68,11 @@ class Index:
 
     def __init__(self, items: list[tuple[int | None, str | None]]) -> None:
         self.hash = WordHash()
-        self.known: set[str] = set()
+        self.known: dict[str, int] = {}
         self.by_length: dict[int, list[tuple[int | None, np.ndarray]]] = defaultdict(list)
         for key, text in items:
             if words := words_of(text):
-                self.known.update(words)
+                self.known.update((w, self.hash[w.encode()]) for w in words)
                 self.by_length[len(words)].append((key, self.shingles(words)))
         self.vocabulary = {n: np.unique(np.concatenate([s for _, s in own])) for n, own in self.by_length.items()}
         self.all = np.unique(np.concatenate([*self.vocabulary.values(), np.zeros(0, np.uint64)]))
@@ -105,14 +105,17 @@ class Index:
         words = words_of(text)
         if not words or not self.by_length:
             return []
-        known = np.fromiter((w in self.known for w in words), bool, len(words))
-        short = min(self.by_length) < SHINGLE
-        runs = np.convolve(known, np.ones(SHINGLE, int), "valid") == SHINGLE if len(words) >= SHINGLE else np.zeros(0, bool)
-        if not runs.any() and not (short or len(words) < SHINGLE) or not known.any():
-            return []
-        if len(words) >= SHINGLE and not short:  # hash known words only until some shingle is an item's
-            quick = shingle_hashes(np.fromiter((self.hash[w.encode()] if k else 0 for w, k in zip(words, known, strict=True)), np.uint64, len(words)), SHINGLE)
-            if not (runs & np.isin(quick, self.all)).any():
+        if len(words) >= SHINGLE and min(self.by_length) >= SHINGLE:  # most documents end here, by their known words alone
+            h = np.fromiter(map(self.known.get, words, repeat(0)), np.uint64, len(words))
+            known = h != 0
+            runs = known[: len(h) - SHINGLE + 1].copy()
+            for i in range(1, SHINGLE):
+                runs &= known[i : len(h) - SHINGLE + 1 + i]
+            at = np.flatnonzero(runs)
+            if not len(at):
+                return []
+            places = (at[:, None] + np.arange(SHINGLE)[None, :]).ravel()
+            if not np.isin(shingle_hashes(h[places], SHINGLE)[::SHINGLE], self.all).any():
                 return []
         whole = np.fromiter((self.hash[w.encode()] for w in words), np.uint64, len(words))
         five = shingle_hashes(whole, SHINGLE)
