@@ -96,6 +96,65 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class _Powers:
+    """Powers of an odd base and of its inverse modulo 2^64, as many as were needed so far."""
+
+    base = 0x9E3779B97F4A7C15
+
+    def __init__(self) -> None:
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            size = max(n, 2 * len(self.up), 1 << 14)
+            for name, b in (("up", self.base), ("down", pow(self.base, -1, 1 << 64))):
+                f = np.full(size, np.uint64(b))
+                f[0] = 1
+                setattr(self, name, np.multiply.accumulate(f))
+        return self.up, self.down
+
+
+_POWERS = _Powers()
+_LETTER = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+_LETTER[65:91] = _LETTER[97:123]
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_LETTER[_SPACE] = 0
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """uint64 hash of each word of a text, A-Z as a-z: differences of one running polynomial over its bytes."""
+    raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
+    n = len(raw)
+    if n == 0:
+        return np.zeros(0, np.uint64)
+    up, down = _POWERS.of(n + 1)
+    edge = np.ones(n + 2, bool)
+    edge[1:-1] = _SPACE[raw]
+    turns = np.flatnonzero(edge[1:] != edge[:-1])
+    start, end = turns[::2], turns[1::2]
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(_LETTER[raw] * up[:n], out=sums[1:])
+    return mix64((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+
+
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; quicker than numpy's for short arrays."""
+    s = np.sort(x)
+    if len(s) < 2:
+        return s
+    keep = np.ones(len(s), bool)
+    np.not_equal(s[1:], s[:-1], out=keep[1:])
+    return s[keep]
+
+
+def among(x: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Whether each of x is in the sorted array of."""
+    if not len(of):
+        return np.zeros(len(x), bool)
+    return of[np.minimum(np.searchsorted(of, x), len(of) - 1)] == x
+
+
 def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
     """uint64 hash for each run of k words (hashes); one for the whole sequence if it is shorter."""
     n = len(words)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, mix64, shingle_hashes
+from .common import WordHash, among, mix64, shingle_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -115,7 +115,7 @@ class Index:
             if not len(at):
                 return []
             places = (at[:, None] + np.arange(SHINGLE)[None, :]).ravel()
-            if not np.isin(shingle_hashes(h[places], SHINGLE)[::SHINGLE], self.all).any():
+            if not among(shingle_hashes(h[places], SHINGLE)[::SHINGLE], self.all).any():
                 return []
         whole = np.fromiter((self.hash[w.encode()] for w in words), np.uint64, len(words))
         five = shingle_hashes(whole, SHINGLE)
@@ -124,7 +124,7 @@ class Index:
             size = min(n, len(words))
             hashes = five if size >= SHINGLE else self._short(whole, size)
             width = max(1, size - SHINGLE + 1)
-            hits = np.isin(hashes, self.vocabulary[n])
+            hits = among(hashes, self.vocabulary[n])
             if not hits.any():
                 continue
             total = np.concatenate([[0], np.cumsum(hits)])
