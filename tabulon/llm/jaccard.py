@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHash, cut, mix64, shingle_hashes
+from .common import among, cut, distinct, mix64, shingle_hashes, word_hashes
 
 SHINGLE = 4
 PERCENT = 85
@@ -35,6 +35,7 @@ _LIST_COST = 4
 #: Shingles in at least so many prefixes go last in the common order, up to so many shingles; the order never changes a result.
 _FREQUENT, _FREQUENT_MOST = 16, 1 << 18
 _BIT_WORDS = 8
+_ID_BUCKETS = 1 << 20
 
 
 def needed(n: int, m: int, percent: int = PERCENT) -> int:
@@ -65,16 +66,9 @@ def large_from(b: int, percent: int = PERCENT) -> int:
     return -(-percent * (b + 1) // 100)
 
 
-class Shingler:
-    def __init__(self, shingle: int) -> None:
-        self.shingle, self.hash = shingle, WordHash()
-
-    def words(self, text: str | None) -> list[bytes]:
-        return (text or "").encode("utf-8", "surrogatepass").lower().split()
-
-    def set_of(self, words: list[bytes]) -> np.ndarray:
-        """Sorted distinct hashes of a text's shingles; one hash of the whole sequence if it is shorter."""
-        return np.unique(shingle_hashes(np.fromiter(map(self.hash.__getitem__, words), np.uint64, len(words)), self.shingle))
+def set_of(words: np.ndarray, shingle: int) -> np.ndarray:
+    """Sorted distinct hashes of the shingles of a text (its words' hashes); one hash of the whole sequence if it is shorter."""
+    return distinct(shingle_hashes(words, shingle))
 
 
 def _bit_words(s: np.ndarray) -> np.ndarray:
@@ -88,13 +82,12 @@ def _sets(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     bits = [f"b{i}" for i in range(_BIT_WORDS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = Shingler(shingle)
         for b in batches:
             keys, sizes, marks, prefixes, ends = [], [], [], [], [0]
             for t in b.column(1):
-                words = of.words(t.as_py())
-                s = of.set_of(words)
-                keys.append(hashlib.md5(b" ".join(words)).digest() if words else None)
+                words = word_hashes(t.as_py())
+                s = set_of(words, shingle)
+                keys.append(hashlib.md5(words.tobytes()).digest() if len(words) else None)
                 sizes.append(len(s))
                 marks.append(_bit_words(s))
                 prefixes.append(s[: prefix_size(len(s), percent)] if len(s) else s)
@@ -121,12 +114,11 @@ def _entries(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], small: in
                 yield (sum(c) * 0x9E3779B97F4A7C15 + span) & ((1 << 64) - 1), span
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = Shingler(shingle)
         common, rank = shared.value
         for b in batches:
             hs, spans, ends = [], [], [0]
             for t in b.column(1):
-                s = of.set_of(of.words(t.as_py()))
+                s = set_of(word_hashes(t.as_py()), shingle)
                 n, count = len(s), 0
                 if n and n <= small:
                     got = list(subsets(s))
@@ -136,12 +128,11 @@ def _entries(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], small: in
                 if n >= start and n:
                     p = prefix_size(n, percent)
                     if len(common):
-                        at = np.minimum(np.searchsorted(common, s), len(common) - 1)
-                        late = common[at] == s
+                        late = among(s, common)
                         first = s[~late][:p]
                         if len(first) < p:
                             rest = s[late]
-                            first = np.concatenate([first, rest[np.lexsort((rest, rank[at[late]]))][: p - len(first)]])
+                            first = np.concatenate([first, rest[np.lexsort((rest, rank[np.searchsorted(common, rest)]))][: p - len(first)]])
                     else:
                         first = s[:p]
                     hs.append(first)
@@ -179,22 +170,30 @@ def components(edges: DataFrame) -> DataFrame:
         now = cut(small.unionByName(down.select(F.col("_a").alias("a"), F.col("m").alias("b"))).distinct())
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets link, from the texts of both."""
+def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets link, from the texts of both.
+
+    Texts are first ruled out by whether any wanted id falls in their id's
+    hash bucket: a broadcast of no more than _ID_BUCKETS rows, whatever the
+    number of pairs, that spares the shuffle most of the texts.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = Shingler(shingle)
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                s, t = of.set_of(of.words(x.as_py())), of.set_of(of.words(y.as_py()))
-                same = len(np.intersect1d(s, t, assume_unique=True))
+                s, t = set_of(word_hashes(x.as_py()), shingle), set_of(word_hashes(y.as_py()), shingle)
+                same = int(among(s, t).sum())
                 keep.append(same > 0 and 100 * same >= percent * (len(s) + len(t) - same))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    x, y = texts.select(F.col("doc_id").alias("_a"), F.col("text").alias("x")), texts.select(F.col("doc_id").alias("_b"), F.col("text").alias("y"))
-    both = pairs.join(x, F.col("a") == F.col("_a")).join(y, F.col("b") == F.col("_b"))
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    both = pairs
+    for side, text in (("a", "x"), ("b", "y")):
+        bucket = F.pmod(F.xxhash64(F.lit(9), side), F.lit(_ID_BUCKETS)).alias("_k")
+        wanted = F.broadcast(pairs.select(bucket).distinct())
+        own = docs.select(F.col("doc_id").alias(f"_{side}"), F.col("text").alias(text), F.pmod(F.xxhash64(F.lit(9), "doc_id"), F.lit(_ID_BUCKETS)).alias("_k"))
+        both = both.join(own.join(wanted, "_k", "left_semi").drop("_k"), F.col(side) == F.col(f"_{side}"))
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct()
 
 
 def _close(x: str, y: str, percent: int) -> F.Column:
@@ -240,17 +239,15 @@ def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
     x, y = marks.alias("x"), marks.alias("y")
     pairs = cut(pairs.join(x, F.col("a") == F.col("x.rep")).join(y, F.col("b") == F.col("y.rep")).where(_close("x", "y", percent)).select("a", "b"))
 
-    wanted = lists.where("span = 0").select(F.col("rep").alias("_r")).distinct()
-    texts = cut(docs.select("doc_id", "text").dropDuplicates(["doc_id"]).join(wanted, F.col("doc_id") == F.col("_r"), "left_semi"))
-    first = cut(components(cut(sure.unionByName(_verified(pairs, texts, shingle, percent)))))
+    first = cut(components(cut(sure.unionByName(_verified(pairs, docs, shingle, percent)))))
 
     comp = lists.where("span = 0").join(first, F.col("rep") == F.col("node"), "left").select("h", "rep", F.coalesce("comp", "rep").alias("comp"))
     open_lists = Window.partitionBy("h")
     comp = comp.withColumn("_lo", F.min("comp").over(open_lists)).withColumn("_hi", F.max("comp").over(open_lists)).where("_lo < _hi").drop("_lo", "_hi")
-    comp = cut(comp.join(marks.withColumnRenamed("rep", "_r"), F.col("rep") == F.col("_r")).drop("_r"))
+    comp = comp.join(marks.withColumnRenamed("rep", "_r"), F.col("rep") == F.col("_r")).drop("_r")
     across = (F.col("x.h") == F.col("y.h")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.comp") != F.col("y.comp")) & _close("x", "y", percent)
     rest = comp.alias("x").join(comp.alias("y"), across).select(F.col("y.rep").alias("a"), F.col("x.rep").alias("b")).distinct()
-    links = _verified(cut(rest), texts, shingle, percent)
+    links = _verified(cut(rest), docs, shingle, percent)
     as_comp = first.select(F.col("node").alias("_n"), F.col("comp").alias("_c"))
     for side in ("a", "b"):
         links = links.join(as_comp, F.col(side) == F.col("_n"), "left").withColumn(side, F.coalesce("_c", side)).drop("_n", "_c")
