@@ -5,17 +5,66 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import transforms
+from .operators.deletes import equality_deletes
+from .plans.expressions import all_of, any_of, compare, is_in, starts_with
 
 FLAGSHIP = "scan_filter_project"
 
 
+def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _filtered(df: DataFrame, where) -> DataFrame:
+    types = dict(df.dtypes)
+    return df.where(where.bind(types).column(types))
+
+
 def scan_filter_project(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").where("l_shipdate >= timestamp_ntz '1995-01-01'").select("l_orderkey", "l_linenumber", "l_quantity")
+    where = all_of(compare("l_quantity", ">=", 30.0), is_in("l_returnflag", ["A", "R"]))
+    return _filtered(_read(spark, sf_dir, "lineitem"), where).select("l_orderkey", "l_linenumber", "l_quantity")
+
+
+def predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    where = any_of(starts_with("o_orderpriority", "1"), ~compare("o_totalprice", "<", 200000.0))
+    return _filtered(_read(spark, sf_dir, "orders"), where).select("o_orderkey", "o_orderpriority", "o_totalprice")
+
+
+def time_transforms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = _read(spark, sf_dir, "events")
+    made = [transforms.apply(t, F.col("ts"), df.schema["ts"].dataType).alias(f"ts_{t}") for t in ("year", "month", "day", "hour")]
+    return df.select("event_id", *made)
+
+
+def truncate_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = _read(spark, sf_dir, "customer")
+    cut = lambda c, w: transforms.truncate(w, F.col(c), df.schema[c].dataType)
+    return df.select("c_custkey", cut("c_custkey", 10).alias("key_10"), cut("c_name", 4).alias("name_4"))
+
+
+def equality_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gone = _read(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"))
+    return equality_deletes(_read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"), gone, ["l_orderkey"])
+
+
+def column_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = F.col("l_extendedprice")
+    return _read(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(F.count("*").alias("record_count"), F.count_if(c.isNull()).alias("null_count"), F.min(c).alias("lower_bound"), F.max(c).alias("upper_bound"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"scan_filter_project": scan_filter_project}
+    return {f.__name__: f for f in (scan_filter_project, predicates, time_transforms, truncate_transform, equality_delete, column_statistics)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"scan_filter_project": "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_shipdate >= TIMESTAMP '1995-01-01'"}
+    return {
+        "scan_filter_project": "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity >= 30 AND l_returnflag IN ('A', 'R')",
+        "predicates": "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders WHERE starts_with(o_orderpriority, '1') OR o_totalprice >= 200000",
+        "time_transforms": "SELECT event_id, CAST(year(ts) - 1970 AS INTEGER) AS ts_year, CAST((year(ts) - 1970) * 12 + month(ts) - 1 AS INTEGER) AS ts_month, CAST(ts AS DATE) AS ts_day, CAST(floor(epoch_us(ts) / 3600000000) AS INTEGER) AS ts_hour FROM events",
+        "truncate_transform": "SELECT c_custkey, c_custkey - c_custkey % 10 AS key_10, substr(c_name, 1, 4) AS name_4 FROM customer",
+        "equality_delete": "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')",
+        "column_statistics": "SELECT l_returnflag, count(*) AS record_count, count(*) - count(l_extendedprice) AS null_count, min(l_extendedprice) AS lower_bound, max(l_extendedprice) AS upper_bound FROM lineitem GROUP BY l_returnflag",
+    }
