@@ -58,7 +58,8 @@ def layout(docs: DataFrame, carry: Sequence[str] = (), block_words: int = BLOCK_
 
     Columns: doc_id, source, size, start, sid, source_size, target, blocks
     (of its source), quota (blocks that the mix takes from the source), before
-    (quotas of earlier sources), slots (all quotas), and those named in carry.
+    (quotas of earlier sources), slots (all quotas), and those named in carry,
+    with _c_ before their names.
     A source's rows are dealt to hash buckets, so that its running sum is not
     made in one task: within buckets by window, across them over bucket sums.
     """
@@ -79,7 +80,7 @@ def layout(docs: DataFrame, carry: Sequence[str] = (), block_words: int = BLOCK_
     out = rows.join(offsets, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_bucket") == F.col("_b")))
     within = Window.partitionBy("sid", "_bucket").orderBy("doc_id", "_tie", "size").rowsBetween(Window.unboundedPreceding, 0)
     out = out.withColumn("start", F.col("_offset") + F.sum("size").over(within) - F.col("size"))
-    return out.select("doc_id", "source", "size", "start", "sid", "source_size", "target", "blocks", "quota", "before", "slots", *[F.col(f"_c_{c}").alias(c) for c in carry])
+    return out.select("doc_id", "source", "size", "start", "sid", "source_size", "target", "blocks", "quota", "before", "slots", *[f"_c_{c}" for c in carry])
 
 
 def slots(placed: DataFrame, slots_per_shard: int = SLOTS_PER_SHARD, seed: int = SEED) -> DataFrame:
@@ -140,9 +141,9 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     got = mix(placed).groupBy(F.col("sid").alias("_sid"), F.col("start").alias("_start"), "turn")
     got = got.agg(F.sort_array(F.collect_list(F.struct("first", "words"))).alias("_parts"), F.sum("words").alias("_n"))
     out = placed.where("size > 0").join(got, (F.col("sid") == F.col("_sid")) & (F.col("start") == F.col("_start")))
-    words = F.regexp_extract_all(F.col("text"), F.lit(r"([^\x20\x09-\x0D]+)"))
+    words = F.regexp_extract_all(F.col("_c_text"), F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
     some = F.concat_ws(" ", F.flatten(F.transform("_parts", lambda p: F.slice(F.col("_w"), (p["first"] + 1).cast("int"), p["words"].cast("int")))))
-    out = out.withColumn("_w", F.when(F.col("_n") < F.col("size"), words)).withColumn("text", F.when(F.col("_n") < F.col("size"), some).otherwise(F.col("text")))
-    if "n_chars" in names:
-        out = out.withColumn("n_chars", F.length("text").cast("long"))
-    return out.select(*names)
+    partly = F.col("_n") < F.col("size")
+    out = out.withColumn("_w", F.when(partly, words)).withColumn("_c_text", F.when(partly, some).otherwise(F.col("_c_text")))
+    own = {"n_chars": F.length("_c_text").cast("long")}
+    return out.select(*[own.get(c, F.col(c if c in ("doc_id", "source") else f"_c_{c}")).alias(c) for c in names])
