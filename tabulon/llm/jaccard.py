@@ -33,7 +33,9 @@ _SMALL_MOST = 24
 #: A list entry costs about so many subset rows.
 _LIST_COST = 4
 #: Shingles in at least so many prefixes go last in the common order, up to so many shingles; the order never changes a result.
-_FREQUENT, _FREQUENT_MOST = 16, 1 << 18
+_FREQUENT, _FREQUENT_MOST = 2, 1 << 20
+#: Rounds of neighbours, in another order each, before the sets of different components are compared in full.
+_ROUNDS = 5
 _BIT_WORDS = 8
 _ID_BUCKETS = 1 << 20
 
@@ -203,6 +205,23 @@ def _close(x: str, y: str, percent: int) -> F.Column:
     return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (differ * (100 + percent) <= (n + m) * (100 - percent))
 
 
+def _open(listed: DataFrame, known: DataFrame) -> DataFrame:
+    """h, rep and comp of the lists that hold more than one component."""
+    whole = Window.partitionBy("h")
+    out = listed.join(known, F.col("rep") == F.col("node"), "left").select("h", "rep", F.coalesce("comp", "rep").alias("comp"))
+    return out.withColumn("_lo", F.min("comp").over(whole)).withColumn("_hi", F.max("comp").over(whole)).where("_lo < _hi").drop("_lo", "_hi")
+
+
+def _merged(known: DataFrame, links: DataFrame) -> DataFrame:
+    """node and comp after further links (a, b)."""
+    as_comp = known.select(F.col("node").alias("_n"), F.col("comp").alias("_c"))
+    for side in ("a", "b"):
+        links = links.join(as_comp, F.col(side) == F.col("_n"), "left").withColumn(side, F.coalesce("_c", side)).drop("_n", "_c")
+    joined = cut(components(links)).select(F.col("node").alias("_n"), F.col("comp").alias("_c"))
+    moved = known.join(joined, F.col("comp") == F.col("_n"), "left").select("node", F.coalesce("_c", "comp").alias("comp"))
+    return moved.unionByName(joined.select(F.col("_n").alias("node"), F.col("_c").alias("comp"))).distinct()
+
+
 def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id for every row of docs (doc_id, text).
 
@@ -233,28 +252,29 @@ def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
 
     sure = lists.where("span > 0").groupBy("h", "span").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("rep").alias("b")).where("lo * 64 + hi = span").select(F.col("h").alias("_h"), F.col("span").alias("_s"), "b")
     sure = lists.where("span > 0").join(sure, (F.col("h") == F.col("_h")) & (F.col("span") == F.col("_s"))).where("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
-    near = per_list.orderBy("n", "rep")
-    pairs = lists.where("span = 0").select(F.col("rep").alias("a"), F.lag("rep").over(near).alias("b")).where("b is not null")
-    pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    x, y = marks.alias("x"), marks.alias("y")
-    pairs = cut(pairs.join(x, F.col("a") == F.col("x.rep")).join(y, F.col("b") == F.col("y.rep")).where(_close("x", "y", percent)).select("a", "b"))
-
-    first = cut(components(cut(sure.unionByName(_verified(pairs, docs, shingle, percent)))))
-
-    comp = lists.where("span = 0").join(first, F.col("rep") == F.col("node"), "left").select("h", "rep", F.coalesce("comp", "rep").alias("comp"))
-    open_lists = Window.partitionBy("h")
-    comp = comp.withColumn("_lo", F.min("comp").over(open_lists)).withColumn("_hi", F.max("comp").over(open_lists)).where("_lo < _hi").drop("_lo", "_hi")
+    # Rounds: in each list, neighbours of different components, under another order in each round.
+    listed = lists.where("span = 0").select("h", "rep")
+    whole = Window.partitionBy("h")
+    first = cut(components(sure))
+    for k in range(_ROUNDS):
+        now = _open(listed, first)
+        turn = whole.orderBy(F.xxhash64(F.lit(k), "rep"), "rep")
+        pairs = now.withColumn("b", F.lag("rep").over(turn)).withColumn("_c", F.lag("comp").over(turn)).where("b is not null and _c <> comp")
+        pairs = pairs.select(F.greatest("rep", "b").alias("a"), F.least("rep", "b").alias("b")).distinct()
+        x, y = marks.alias("x"), marks.alias("y")
+        pairs = cut(pairs.join(x, F.col("a") == F.col("x.rep")).join(y, F.col("b") == F.col("y.rep")).where(_close("x", "y", percent)).select("a", "b"))
+        links = cut(_verified(pairs, docs, shingle, percent))
+        if links.isEmpty():
+            break
+        first = cut(_merged(first, links))
+
+    comp = _open(listed, first)
     comp = comp.join(marks.withColumnRenamed("rep", "_r"), F.col("rep") == F.col("_r")).drop("_r")
     across = (F.col("x.h") == F.col("y.h")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.comp") != F.col("y.comp")) & _close("x", "y", percent)
     rest = comp.alias("x").join(comp.alias("y"), across).select(F.col("y.rep").alias("a"), F.col("x.rep").alias("b")).distinct()
-    links = _verified(cut(rest), docs, shingle, percent)
-    as_comp = first.select(F.col("node").alias("_n"), F.col("comp").alias("_c"))
-    for side in ("a", "b"):
-        links = links.join(as_comp, F.col(side) == F.col("_n"), "left").withColumn(side, F.coalesce("_c", side)).drop("_n", "_c")
-    second = components(links)
+    first = _merged(first, _verified(cut(rest), docs, shingle, percent))
 
-    out = member.join(first, F.col("rep") == F.col("node"), "left").withColumn("rep", F.coalesce("comp", "rep")).drop("node", "comp")
-    out = out.join(second, F.col("rep") == F.col("node"), "left").withColumn("component_id", F.coalesce("comp", "rep"))
+    out = member.join(first, F.col("rep") == F.col("node"), "left").withColumn("component_id", F.coalesce("comp", "rep"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
