@@ -34,8 +34,8 @@ _SMALL_MOST = 24
 _LIST_COST = 4
 #: Shingles in at least so many prefixes go last in the common order, up to so many shingles; the order never changes a result.
 _FREQUENT, _FREQUENT_MOST = 2, 1 << 20
-#: Rounds of neighbours, in another order each, before the sets of different components are compared in full.
-_ROUNDS = 5
+#: Most rounds of neighbours, in another order each, before the sets of different components are compared in full; a round that links fewer than one in _ROUND_YIELD of its pairs is the last. Both change cost only.
+_ROUNDS, _ROUND_YIELD = 5, 4
 _BIT_WORDS = 8
 _ID_BUCKETS = 1 << 20
 
@@ -154,15 +154,14 @@ def components(edges: DataFrame) -> DataFrame:
     """node, comp for every node of edges (a, b): comp is the smallest node that it reaches.
 
     Alternates large-star and small-star steps, each a group-by and a join,
-    until nothing changes; every round is written out.
+    until every edge leads to a node that leads nowhere; every round is
+    written out.
     """
     now = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    mark = None
     while True:
-        seen = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).collect()[0])
-        if seen == mark or seen[0] == 0:
+        ends = now.select(F.col("a").alias("node"), F.lit(1).alias("up")).unionByName(now.select(F.col("b").alias("node"), F.lit(0).alias("up")))
+        if ends.groupBy("node").agg(F.sum("up").alias("up"), F.count("*").alias("c")).where("up > 1 or up = 1 and c > 1").isEmpty():
             return now.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
-        mark = seen
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy(F.col("a").alias("_a")).agg(F.least(F.min("b"), F.col("_a")).alias("m"))
         large = both.join(least, F.col("a") == F.col("_a")).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -264,9 +263,11 @@ def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
         x, y = marks.alias("x"), marks.alias("y")
         pairs = cut(pairs.join(x, F.col("a") == F.col("x.rep")).join(y, F.col("b") == F.col("y.rep")).where(_close("x", "y", percent)).select("a", "b"))
         links = cut(_verified(pairs, docs, shingle, percent))
-        if links.isEmpty():
+        found = links.count()
+        if found:
+            first = cut(_merged(first, links))
+        if found * _ROUND_YIELD < pairs.count() or not found:
             break
-        first = cut(_merged(first, links))
 
     comp = _open(listed, first)
     comp = comp.join(marks.withColumnRenamed("rep", "_r"), F.col("rep") == F.col("_r")).drop("_r")
