@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import transforms
-from .operators.deletes import equality_deletes
+from .operators.deletes import equality_deletes, position_deletes
 from .plans.expressions import all_of, any_of, compare, is_in, starts_with
+from .sources.table import Table
 
 FLAGSHIP = "scan_filter_project"
 
@@ -55,8 +58,77 @@ def column_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(F.count("*").alias("record_count"), F.count_if(c.isNull()).alias("null_count"), F.min(c).alias("lower_bound"), F.max(c).alias("upper_bound"))
 
 
+def _orders(spark: SparkSession, sf_dir: str, status: str | None = None) -> DataFrame:
+    df = _read(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    return df if status is None else df.where(F.col("o_orderstatus") == status)
+
+
+def _orders_table(spark: SparkSession, sf_dir: str, *parts: str | None) -> Table:
+    """A new table in the shared folder, one append of orders for each part."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tabulon-")
+    t = Table.create(spark, f"{root.rstrip('/')}/orders-{uuid.uuid4().hex}", _orders(spark, sf_dir).schema)
+    for part in parts:
+        t.append(_orders(spark, sf_dir, part))
+    return t
+
+
+def time_travel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _orders_table(spark, sf_dir, "F")
+    first = t.head()["id"]
+    t.append(_orders(spark, sf_dir, "O"))
+    return t.scan().use(snapshot_id=first).filter(compare("o_totalprice", ">", 150000.0)).to_df()
+
+
+def incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _orders_table(spark, sf_dir, "F")
+    first = t.head()["id"]
+    t.append(_orders(spark, sf_dir, "O"))
+    t.append(_orders(spark, sf_dir, "P"))
+    return t.appended(first)
+
+
+def copy_on_write_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _orders_table(spark, sf_dir, None)
+    t.delete(compare("o_totalprice", "<", 100000.0))
+    return t.scan().to_df()
+
+
+def filtered_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _orders_table(spark, sf_dir, "F", "O")
+    t.overwrite(_orders(spark, sf_dir, "P"), compare("o_orderstatus", "=", "F"))
+    return t.scan().to_df()
+
+
+def evolved_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _orders_table(spark, sf_dir, "F")
+    t.rename_column("o_totalprice", "price")
+    t.add_column("note", "string")
+    t.append(_orders(spark, sf_dir, "P").withColumnRenamed("o_totalprice", "price").withColumn("note", F.lit("late")))
+    return t.scan().select("o_orderkey", "price", "note").to_df()
+
+
+def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _orders_table(spark, sf_dir, "F", "P")
+    t.delete(compare("o_orderstatus", "=", "P"))
+    t.compact()
+    return t.changes().drop("_commit_snapshot_id").withColumnsRenamed({"_change_type": "change_type", "_change_ordinal": "change_ordinal"})
+
+
+def snapshots_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _orders_table(spark, sf_dir, "F", "O")
+    t.delete(compare("o_orderstatus", "=", "F"))
+    return t.inspect("snapshots").select("operation", F.col("summary")["total-records"].cast("long").alias("total_records"))
+
+
+def position_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("file_path"), F.col("l_linenumber").cast("long").alias("pos"))
+    return position_deletes(rows, rows.where("pos % 3 = 1"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (scan_filter_project, predicates, time_transforms, truncate_transform, equality_delete, column_statistics)}
+    made = (scan_filter_project, predicates, time_transforms, truncate_transform, equality_delete, position_delete, column_statistics)
+    made += (time_travel, incremental_append, copy_on_write_delete, filtered_overwrite, evolved_schema, changelog, snapshots_table)
+    return {f.__name__: f for f in made}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -66,5 +138,13 @@ def oracle_sql() -> dict[str, str]:
         "time_transforms": "SELECT event_id, CAST(year(ts) - 1970 AS INTEGER) AS ts_year, CAST((year(ts) - 1970) * 12 + month(ts) - 1 AS INTEGER) AS ts_month, CAST(ts AS DATE) AS ts_day, CAST(floor(epoch_us(ts) / 3600000000) AS INTEGER) AS ts_hour FROM events",
         "truncate_transform": "SELECT c_custkey, c_custkey - c_custkey % 10 AS key_10, substr(c_name, 1, 4) AS name_4 FROM customer",
         "equality_delete": "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')",
+        "position_delete": "SELECT CAST(l_orderkey AS VARCHAR) AS file_path, CAST(l_linenumber AS BIGINT) AS pos FROM lineitem WHERE l_linenumber % 3 <> 1",
+        "time_travel": "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 150000",
+        "incremental_append": "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus IN ('O', 'P')",
+        "copy_on_write_delete": "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE (o_totalprice < 100000) IS NOT TRUE",
+        "filtered_overwrite": "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus IN ('O', 'P')",
+        "evolved_schema": "SELECT o_orderkey, o_totalprice AS price, CASE WHEN o_orderstatus = 'P' THEN 'late' END AS note FROM orders WHERE o_orderstatus IN ('F', 'P')",
+        "changelog": "SELECT o_orderkey, o_orderstatus, o_totalprice, 'INSERT' AS change_type, CASE o_orderstatus WHEN 'F' THEN 0 ELSE 1 END AS change_ordinal FROM orders WHERE o_orderstatus IN ('F', 'P') UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice, 'DELETE', 2 FROM orders WHERE o_orderstatus = 'P'",
+        "snapshots_table": "SELECT 'append' AS operation, count_if(o_orderstatus = 'F') AS total_records FROM orders UNION ALL SELECT 'append', count_if(o_orderstatus IN ('F', 'O')) FROM orders UNION ALL SELECT 'delete', count_if(o_orderstatus = 'O') FROM orders",
         "column_statistics": "SELECT l_returnflag, count(*) AS record_count, count(*) - count(l_extendedprice) AS null_count, min(l_extendedprice) AS lower_bound, max(l_extendedprice) AS upper_bound FROM lineitem GROUP BY l_returnflag",
     }

@@ -279,6 +279,29 @@ class Table:
         files = {f["path"]: f for s in span for f in s["files"] if f["added_by"] in wanted}
         return self._read([*files.values()])
 
+    def changes(self, after: int | None = None, upto: int | None = None) -> DataFrame:
+        """Rows of the files that each snapshot after one (null: from the first) up to another added or removed, in the columns of the current schema.
+
+        _change_type is INSERT or DELETE, _change_ordinal counts the snapshots
+        from 0; compactions change no rows and are left out. Of a file that was
+        rewritten, the rows that stayed show up as deleted and inserted again.
+        """
+        end = upto if upto is not None else (self.head() or {}).get("id")
+        line = self.ancestors(end)
+        ids = [s["id"] for s in line]
+        if after is not None and after not in ids:
+            raise ValueError(f"{after} is no ancestor of {end}")
+        span = [s for s in reversed(line[: ids.index(after) if after is not None else None]) if s["operation"] != "replace"]
+        tag = lambda df, kind, k, sid: df.select("*", F.lit(kind).alias("_change_type"), F.lit(k).alias("_change_ordinal"), F.lit(sid).cast("long").alias("_commit_snapshot_id"))
+        out = tag(self._read([]), "INSERT", 0, None)
+        for k, s in enumerate(span):
+            old = {f["path"]: f for f in (self.snapshot(s["parent"])["files"] if s["parent"] is not None else [])}
+            new = {f["path"]: f for f in s["files"]}
+            for kind, mine, other in (("DELETE", old, new), ("INSERT", new, old)):
+                if files := [f for path, f in mine.items() if path not in other]:
+                    out = out.unionByName(tag(self._read(files), kind, k, s["id"]))
+        return out
+
     def inspect(self, what: str) -> DataFrame:
         """Metadata tables: snapshots, history, refs, files."""
         m, line = self.meta, {s["id"] for s in self.ancestors((self.head() or {}).get("id"))}

@@ -91,3 +91,17 @@ def test_table_versions(spark, tmp_path):
         t.scan().use(snapshot_id=1, ref="v1")
     with pytest.raises(ValueError):
         t.scan().select("none").to_df()
+
+
+def test_changes(spark, tmp_path):
+    t = Table.create(spark, str(tmp_path / "c"), spark.createDataFrame([], "id int").schema)
+    assert t.changes().count() == 0
+    t.append(spark.createDataFrame([(1,), (2,), (None,)], "id int").coalesce(1))
+    first = t.head()["id"]
+    t.delete(compare("id", "=", 1))
+    t.compact()
+    got = sorted(((r._change_ordinal, r._change_type, r.id) for r in t.changes(first).collect()), key=str)
+    assert got == sorted([(0, "DELETE", 1), (0, "DELETE", 2), (0, "DELETE", None), (0, "INSERT", 2), (0, "INSERT", None)], key=str)
+    assert t.changes().where("_change_ordinal = 0").count() == 3
+    with pytest.raises(ValueError):
+        t.changes(5)
