@@ -34,8 +34,8 @@ _SMALL_MOST = 24
 _LIST_COST = 4
 #: Shingles in at least so many prefixes go last in the common order, up to so many shingles; the order never changes a result.
 _FREQUENT, _FREQUENT_MOST = 2, 1 << 20
-#: Most rounds of neighbours, in another order each, before the sets of different components are compared in full; a round that links fewer than one in _ROUND_YIELD of its pairs is the last. Both change cost only.
-_ROUNDS, _ROUND_YIELD = 5, 4
+#: Most rounds of neighbours, each under so many other orders at once, before the sets of different components are compared in full; a round that links fewer than one in _ROUND_YIELD of its pairs is the last. All change cost only.
+_ROUNDS, _ORDERS, _ROUND_YIELD = 2, 3, 4
 _BIT_WORDS = 8
 _ID_BUCKETS = 1 << 20
 
@@ -155,17 +155,19 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates large-star and small-star steps, each a group-by and a join,
     until every edge leads to a node that leads nowhere; every round is
-    written out.
+    written out. Repeated edges between the two steps are harmless: a step
+    gives no more rows than it gets edges and nodes.
     """
     now = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     while True:
         ends = now.select(F.col("a").alias("node"), F.lit(1).alias("up")).unionByName(now.select(F.col("b").alias("node"), F.lit(0).alias("up")))
-        if ends.groupBy("node").agg(F.sum("up").alias("up"), F.count("*").alias("c")).where("up > 1 or up = 1 and c > 1").isEmpty():
+        ends = ends.groupBy("node").agg(F.sum("up").alias("up"), F.count("*").alias("c")).where("up > 1 or up = 1 and c > 1")
+        if not ends.agg(F.count("*")).first()[0]:
             return now.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy(F.col("a").alias("_a")).agg(F.least(F.min("b"), F.col("_a")).alias("m"))
         large = both.join(least, F.col("a") == F.col("_a")).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.unionByName(least.where("m < _a").select(F.col("_a").alias("a"), F.col("m").alias("b"))).distinct()
+        large = large.unionByName(least.where("m < _a").select(F.col("_a").alias("a"), F.col("m").alias("b")))
         down = large.groupBy(F.col("a").alias("_a")).agg(F.min("b").alias("m"))
         small = large.join(down, F.col("a") == F.col("_a")).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = cut(small.unionByName(down.select(F.col("_a").alias("a"), F.col("m").alias("b"))).distinct())
@@ -251,15 +253,15 @@ def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
 
     sure = lists.where("span > 0").groupBy("h", "span").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("rep").alias("b")).where("lo * 64 + hi = span").select(F.col("h").alias("_h"), F.col("span").alias("_s"), "b")
     sure = lists.where("span > 0").join(sure, (F.col("h") == F.col("_h")) & (F.col("span") == F.col("_s"))).where("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
-    # Rounds: in each list, neighbours of different components, under another order in each round.
+    # Rounds: in each list, neighbours of different components, under several orders.
     listed = lists.where("span = 0").select("h", "rep")
     whole = Window.partitionBy("h")
     first = cut(components(sure))
     for k in range(_ROUNDS):
-        now = _open(listed, first)
-        turn = whole.orderBy(F.xxhash64(F.lit(k), "rep"), "rep")
-        pairs = now.withColumn("b", F.lag("rep").over(turn)).withColumn("_c", F.lag("comp").over(turn)).where("b is not null and _c <> comp")
-        pairs = pairs.select(F.greatest("rep", "b").alias("a"), F.least("rep", "b").alias("b")).distinct()
+        turns = [whole.orderBy(F.xxhash64(F.lit(_ORDERS * k + i), "rep"), "rep") for i in range(_ORDERS)]
+        near = _open(listed, first).withColumns({f"_o{i}": F.lag(F.struct("rep", "comp")).over(t) for i, t in enumerate(turns)})
+        near = near.select("rep", "comp", F.explode(F.array(*[f"_o{i}" for i in range(_ORDERS)])).alias("o")).where("o.comp <> comp")
+        pairs = near.select(F.greatest("rep", "o.rep").alias("a"), F.least("rep", "o.rep").alias("b")).distinct()
         x, y = marks.alias("x"), marks.alias("y")
         pairs = cut(pairs.join(x, F.col("a") == F.col("x.rep")).join(y, F.col("b") == F.col("y.rep")).where(_close("x", "y", percent)).select("a", "b"))
         links = cut(_verified(pairs, docs, shingle, percent))
