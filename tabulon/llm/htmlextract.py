@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 from .common import grown
 from .urlfilter import host_of
 
+#: Script, style and textarea hold no tags up to their end tag or the page's end. The other named elements are skipped only where they are closed before the next of their name.
 _TOKEN = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<(script|style|noscript|template|textarea|iframe|svg|math|select|object)\b[^>]*(?<!/)>.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:--!?>|\Z)|<(script|style|textarea)(?=[\s/>])[^>]*(?<!/)>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
+    r"|<(noscript|template|iframe|svg|select)(?=[\s/>])[^>]*(?<!/)>[^<]*(?:<(?!/?\2[\s/>])[^<]*)*</\2(?=[\s/>])[^>]*>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)>|<[!?][^>]*(?:>|\Z)|<(?=/?[a-zA-Z])[^>]*(?:>|\Z)",
     re.S | re.I,
 )
@@ -28,7 +30,9 @@ _BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_DROPPED = frozenset("nav header footer aside form head title script style noscript template iframe button select textarea menu dialog svg math object audio video canvas label input".split())
+_DROPPED = frozenset("nav header footer aside form head title script style noscript template iframe button select option optgroup textarea menu dialog svg audio video canvas label input".split())
+#: An unclosed one of these ends as if it were void: what follows it belongs to its parent.
+_LOOSE = frozenset("noscript template iframe button select option optgroup svg math object audio video canvas label".split())
 _NOISE = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo banner sidebar side menu nav navbar navigation breadcrumb breadcrumbs footer header masthead cookie cookies consent notice notices alert popup modal overlay newsletter subscribe signup share sharing social related recommended recommendations comment comments commentlist disqus reply replies respond toolbar pagination pager widget hidden".split()
 )
@@ -70,6 +74,26 @@ def inside(node: Node | None, tags: tuple[str, ...]) -> bool:
     return False
 
 
+def _left_open(node: Node, to: Node) -> None:
+    """Gives the children of the loose nodes from node up to below to, which have no end tag, to their parents."""
+    chain = []
+    while node is not to:
+        if node.tag in _LOOSE:
+            chain.append(node)
+        node = node.parent
+    for n in reversed(chain):  # from the outermost, so that a child moves once
+        up = n.parent
+        up.children.pop()
+        at = 0
+        if n.tag == "option":  # its label, up to the first block
+            while at < len(n.children) and (isinstance(n.children[at], str) or n.children[at].tag not in _BLOCKS and n.children[at].tag not in _LOOSE):
+                at += 1
+        for c in n.children[at:]:
+            up.children.append(c)
+            if not isinstance(c, str):
+                c.parent = up
+
+
 def parse(text: str | None) -> Node:
     """A tree of nodes and strings from any html; unclosed, crossed and cut-off tags are borne."""
     root = node = Node("#", "", None)
@@ -78,14 +102,15 @@ def parse(text: str | None) -> Node:
         if m.start() > at:
             node.children.append(source[at : m.start()])
         at = m.end()
-        tag = (m[3] or "").lower()
+        tag = (m[4] or "").lower()
         if not tag:
             continue
-        if m[2]:
+        if m[3]:
             up = node
             while up.tag not in (tag, "#") and not (up.tag in ("article", "main", "td", "table", "body") and tag not in _BLOCKS):
                 up = up.parent
             if up.tag == tag:
+                _left_open(node, up)
                 node = up.parent
             continue
         if tag in ("br", "wbr"):
@@ -96,17 +121,20 @@ def parse(text: str | None) -> Node:
             while up.tag not in _BLOCKS and up.tag != "#":
                 up = up.parent
             if up.tag == "p":
+                _left_open(node, up)
                 node = up = up.parent
             elif up.tag in _ENDS.get(tag, ()):
+                _left_open(node, up)
                 node = up.parent
                 if tag == "tr" and up.tag != "tr" and node.tag == "tr":
                     node = node.parent
-        child = Node(tag, m[4], node)
+        child = Node(tag, m[5], node)
         node.children.append(child)
-        if tag not in _VOID and not m[4].rstrip().endswith("/"):
+        if tag not in _VOID and not m[5].rstrip().endswith("/"):
             node = child
     if at < len(source):
         node.children.append(source[at:])
+    _left_open(node, root)
     return root
 
 

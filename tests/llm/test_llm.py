@@ -120,6 +120,21 @@ def test_html_main_text():
     assert htmlextract.extract(None, None) == "" and htmlextract.extract("<p", "html") == ""
 
 
+@pytest.mark.parametrize(
+    "odd", ["<svg-icon name='x'></svg-icon>", "<object-viewer>", "<template-card a=b></template-card>", "<object data=x><embed src=x>", "<select><option>A<option>B", "<svg><path d=x>", "<iframe src=x>", "<svg><g></svg>", "<svg><svg></svg><text>t</text></svg>", "<select><option>A</option></select>", "<template></div></template>"]
+)
+def test_html_odd_elements_cost_only_themselves(odd):
+    page = f"<body><div class=content><p>One, it says here.</p>{odd}<p>Two, it says here.</p><p>Three, it says here.</p></div><svg></svg><footer>f</footer>"
+    want = "One, it says here.\n\nTwo, it says here.\n\nThree, it says here."
+    assert htmlextract.extract(page, None) == want
+    assert htmlextract.extract(page.replace("div class=content", "article").replace("</div><svg>", "</article><svg>"), None) == want
+
+
+def test_html_math_and_objects_are_prose():
+    page = "<article><p>Let <math><mi>x</mi></math> be, as <object data=f>figure</object> says, one<select><option>A</select>.</p></article><script>var a"
+    assert htmlextract.extract(page, None) == "Let x be, as figure says, one."
+
+
 def test_license_inheritance(spark):
     rows = [("a/LICENSE", "Released under the MIT License."), ("a/b/c/x.py", "code"), ("a/b/y.py", "Licensed under CC BY-NC 4.0.\n" + "code " * 20), ("z.py", None), (None, "All rights reserved.")]
     got = {r.path: (r.license, r.inherited_from) for r in licenses.scan(spark.createDataFrame(rows, "path string, text string")).collect()}
