@@ -1,18 +1,19 @@
 """Main text of web pages by consensus of each host's pages.
 
 Each page scores its containers by the paragraphs they hold. Pages of a host
-vote, in Spark, on the generalised tag-class path of their best container, and
-every page is then read again through the winning path.
+vote, in Spark, on the generalised tag-class path of their best container. Paths
+with enough votes win, several where a host has several layouts, and every page
+is then read again through the winning path that holds most of it.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import grown
@@ -37,6 +38,11 @@ _NOISE = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo banner sidebar side menu nav navbar navigation breadcrumb breadcrumbs footer header masthead cookie cookies consent notice notices alert popup modal overlay newsletter subscribe signup share sharing social related recommended recommendations comment comments commentlist disqus reply replies respond toolbar pagination pager widget hidden".split()
 )
 _CONTENT = frozenset("article content post entry story main body text".split())
+#: Least share, in percent, of a host's votes with which a path wins beside the first, and least number of votes.
+SUPPORT = 5
+LEAST_VOTES = 2
+#: A page whose winning paths hold less than this part of its best container's score is read through that container.
+HOLDS = 0.5
 _SPLIT = re.compile(r"[^a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _DIGITS = re.compile(r"\d+")
@@ -208,7 +214,7 @@ def best_container(root: Node) -> tuple[Node | None, int]:
                 up = up.parent
     if not held:
         return None, 0
-    top = max(held, key=lambda n: n.score * (5 if n.named or n.tag in ("article", "main") else 4) // (8 if n.tag in ("body", "html", "#") else 4))
+    top = max(held, key=_weight)
     node, whole = top, None
     while node is not None:
         if node.tag in ("article", "main"):
@@ -218,21 +224,43 @@ def best_container(root: Node) -> tuple[Node | None, int]:
     return top, score
 
 
-def extract(text: str | None, winner: str | None) -> str:
-    """Blocks of all containers with the winning path, in page order; of the page's own best container where none has it."""
-    root = parse(text)
-    found, stack = [], [root]
-    while stack and winner:
+def _weight(node: Node) -> int:
+    return node.score * (5 if node.named or node.tag in ("article", "main") else 4) // (8 if node.tag in ("body", "html", "#") else 4)
+
+
+def _held(nodes: list[Node]) -> int:
+    """The largest weight of a container in these nodes."""
+    most, stack = 0, [*nodes]
+    while stack:
         node = stack.pop()
-        if node.noise:
-            continue
-        if node.path() == winner:
-            found.append(node)
+        if not node.noise:
+            most = max(most, _weight(node))
+            stack += [c for c in node.children if not isinstance(c, str)]
+    return most
+
+
+def extract(text: str | None, winners: Sequence[str] | str | None) -> str:
+    """Blocks of all containers with one of the winning paths, in page order; of the page's own best container where they hold much less than it.
+
+    Of several paths (most voted first) the one whose containers hold most counts.
+    """
+    root = parse(text)
+    found: dict[str, list[Node]] = {w: [] for w in ([winners] if isinstance(winners, str) else winners or ())}
+    top, _ = best_container(root)
+    deepest = max((w.count("/") for w in found), default=-1)
+    stack: list[tuple[Node, str, int]] = [(root, "", -1)]
+    while stack:
+        node, path, depth = stack.pop()
+        if node.noise or depth > deepest:
             continue
-        stack += [c for c in reversed(node.children) if not isinstance(c, str)]
-    blocks = [b for n in found for b in blocks_of(n)]
+        if path in found:
+            found[path].append(node)
+        stack += [(c, f"{path}/{c.step}" if path else c.step, depth + 1) for c in reversed(node.children) if not isinstance(c, str)]
+    path = max(found, key=lambda p: _held(found[p]), default=None)  # the first of equal ones
+    blocks = []
+    if path is not None and _held(found[path]) >= HOLDS * (_held([top]) if top is not None else 0):
+        blocks = [b for n in found[path] for b in blocks_of(n)]
     if not blocks:
-        top, _ = best_container(root)
         blocks = blocks_of(top) if top is not None else blocks_of(root)
     return "\n\n".join(blocks)
 
@@ -253,16 +281,26 @@ def votes(pages: DataFrame) -> DataFrame:
     return cast.where("path is not null").groupBy("host", "path").agg(F.count("*").alias("votes"), F.sum("score").alias("score"))
 
 
+def winning(cast: DataFrame) -> DataFrame:
+    """_host and _paths, most voted first, from votes: the path with most votes, then score, then by name, and all others with enough votes."""
+    # Windows, not a join: the size of the result stays known, and the join with pages is planned by it.
+    host = Window.partitionBy("host")
+    cast = cast.withColumn("_all", F.sum("votes").over(host)).withColumn("_rank", F.row_number().over(host.orderBy(F.desc("votes"), F.desc("score"), F.desc("path"))))
+    enough = (F.col("votes") >= LEAST_VOTES) & (F.col("votes") * 100 >= F.col("_all") * SUPPORT)  # at most 100 / SUPPORT of a host
+    won = cast.where(enough | (F.col("_rank") == 1)).groupBy(F.col("host").alias("_host"))
+    return won.agg(F.array_sort(F.collect_list(F.struct("_rank", "path")))["path"].alias("_paths"))
+
+
 def extract_pages(pages: DataFrame) -> DataFrame:
     """pages with text (empty if none) and n_chars, its code points.
 
-    A host's path is the one with most votes, then score, then by name. Pages
-    without a host vote together. Null and empty html give an empty text;
-    repeated pages stay; columns of pages named text or n_chars are replaced.
+    A host's paths are those that winning() keeps. Pages without a host vote
+    together. Null and empty html give an empty text; repeated pages stay;
+    columns of pages named text or n_chars are replaced.
     """
     kept = pages.drop("text", "n_chars")
-    best = votes(pages).groupBy("host").agg(F.max(F.struct("votes", "score", "path"))["path"].alias("_path")).withColumnRenamed("host", "_host")
-    joined = kept.withColumn("_h", host_of(F.col("url"))).join(best, F.col("_h") == F.col("_host"), "left").select(*kept.columns, "_path")
+    best = winning(votes(pages))
+    joined = kept.withColumn("_h", host_of(F.col("url"))).join(best, F.col("_h") == F.col("_host"), "left").select(*kept.columns, "_paths")
     at, path_at = kept.columns.index("html"), len(kept.columns)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -135,6 +135,14 @@ def test_html_math_and_objects_are_prose():
     assert htmlextract.extract(page, None) == "Let x be, as figure says, one."
 
 
+def test_html_hosts_with_several_layouts(spark):
+    long = "".join(f"<p>Part {i} of the piece, which goes on for a while, and on.</p>" for i in range(6))
+    one, two, three = f"<body><div class=content>{long}</div>", f"<body><div class=content><p>Teaser.</p></div><div class=story>{long}</div>", f"<body><div class=content><p>Teaser.</p></div><div class=odd>{long}</div>"
+    rows = [(i, "http://h.com/", one if i < 60 else two if i < 99 else three) for i in range(100)]
+    texts = {r.page_id: r.text for r in htmlextract.op8(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert len(texts) == 100 and all(t.count("Part") == 6 and "Teaser" not in t for t in texts.values())
+
+
 def test_license_inheritance(spark):
     rows = [("a/LICENSE", "Released under the MIT License."), ("a/b/c/x.py", "code"), ("a/b/y.py", "Licensed under CC BY-NC 4.0.\n" + "code " * 20), ("z.py", None), (None, "All rights reserved.")]
     got = {r.path: (r.license, r.inherited_from) for r in licenses.scan(spark.createDataFrame(rows, "path string, text string")).collect()}
