@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import string
 from collections.abc import Sequence
 
@@ -19,7 +20,10 @@ RULES = (
     ("org", "es/", "block"),
 )
 DAMPING = 0.85
-ROUNDS = 8
+#: Bound on the mass of all hosts together that the rounds left out could still add; far below THRESHOLD.
+TOLERANCE = 1e-6
+#: Rounds between two writes of the ranks.
+_WRITE = 4
 THRESHOLD = 0.05
 
 
@@ -51,19 +55,26 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.join(out, F.col("src") == F.col("_src")).select("src", "dst", (F.col("n") / F.col("_all")).alias("share"))
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
+def propagate(seeds: DataFrame, edges: DataFrame, tolerance: float = TOLERANCE, damping: float = DAMPING) -> DataFrame:
     """Personalised PageRank: host, mass, from seeds (host, seed) along edges (src, dst, share).
 
-    Sums of contributions are made before the shuffle; ranks are written out
-    every fourth round, so that a lost executor costs few rounds.
+    Each round adds at most damping times what the one before it added, over
+    all hosts. Rounds end when what is left to add is within tolerance, so no
+    host's mass is further than that from the limit. Sums of contributions are
+    made before the shuffle; ranks are written out every few rounds, so that a
+    lost executor costs few rounds.
     """
     base = seeds.select("host", (F.col("seed") * F.lit(1 - damping)).alias("mass"))
-    rank = base
-    for i in range(rounds):
-        moved = edges.join(rank, F.col("src") == F.col("host")).select(F.col("dst").alias("host"), (F.col("mass") * F.col("share") * F.lit(damping)).alias("mass"))
-        rank = base.unionByName(moved).groupBy("host").agg(F.sum("mass").alias("mass"))
-        if i % 4 == 3:
-            rank = cut(rank)
+    total = base.agg(F.sum("mass")).first()[0] or 0.0
+    left = total * damping / (1 - damping)
+    rank, kept = base, damping**_WRITE
+    while left > tolerance:
+        for _ in range(_WRITE):
+            moved = edges.join(rank, F.col("src") == F.col("host")).select(F.col("dst").alias("host"), (F.col("mass") * F.col("share") * F.lit(damping)).alias("mass"))
+            rank = base.unionByName(moved).groupBy("host").agg(F.sum("mass").alias("mass"))
+        rank = cut(rank)
+        before, total = total, rank.agg(F.sum("mass")).first()[0]
+        left = min(left * kept, (total - before) * kept / (1 - kept))
     return rank
 
 
@@ -79,11 +90,11 @@ def host_verdicts(pages: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     seeds = cut(pages.where("host <> ''").groupBy("host").agg(F.count_if(F.col("by_rule") == "allow").alias("a"), F.count_if(F.col("by_rule") == "block").alias("b")))
     ruled = F.greatest(F.col("a") + F.col("b"), F.lit(1))
     seeds = seeds.select("host", (F.col("a") / ruled).alias("good"), (F.col("b") / ruled).alias("bad"))
-    rounds = 0 if edges.isEmpty() else ROUNDS
     out = edges.groupBy(F.col("dst").alias("_dst")).agg(F.sum("share").alias("_in"))
     back = edges.join(out, F.col("dst") == F.col("_dst")).select(F.col("dst").alias("src"), F.col("src").alias("dst"), (F.col("share") / F.col("_in")).alias("share"))
-    trust = propagate(seeds.select("host", F.col("good").alias("seed")), edges, rounds).select("host", F.col("mass").alias("trust"))
-    distrust = propagate(seeds.select("host", F.col("bad").alias("seed")), back, rounds).select("host", F.col("mass").alias("distrust"))
+    tolerance = math.inf if edges.isEmpty() else TOLERANCE
+    trust = propagate(seeds.select("host", F.col("good").alias("seed")), edges, tolerance).select("host", F.col("mass").alias("trust"))
+    distrust = propagate(seeds.select("host", F.col("bad").alias("seed")), cut(back), tolerance).select("host", F.col("mass").alias("distrust"))
     both = trust.unionByName(distrust, allowMissingColumns=True).groupBy("host").agg(F.coalesce(F.sum("trust"), F.lit(0.0)).alias("trust"), F.coalesce(F.sum("distrust"), F.lit(0.0)).alias("distrust"))
     bad = (F.col("distrust") >= F.lit(threshold)) & (F.col("distrust") > F.col("trust"))
     return both.withColumn("host_verdict", F.when(bad, F.lit("block")).otherwise(F.lit("allow")))

@@ -95,6 +95,26 @@ def test_url_rules(spark):
     assert got[5][2:] == ("example.net/de/8", "block") and got[6][2:] == ("net/de/", "block")
 
 
+def test_url_mass_equals_the_limit(spark):
+    hosts = [f"h{i}.example" for i in range(10)]
+    links = {(i, (i + 1) % 10): 1.0 for i in range(10)}  # a ring; h0 is blocked, and h2 is 8 links from it
+    more = {(10, 0): 0.5, (10, 11): 0.5, (11, 10): 1.0}
+    hosts += ["in.example", "good.example"]
+    a = np.zeros((12, 12))
+    for (i, j), share in (links | more).items():
+        a[i, j] = share
+    rows = [(i, f"http://{h}/{'x' if i else 'bad'}", " ".join(f'<a href="http://{hosts[j]}/">' for j in range(12) if a[i, j])) for i, h in enumerate(hosts)]
+    out = urlfilter.filter_urls(spark.createDataFrame(rows, "page_id long, url string, html string"), [(hosts[0], "bad", "block"), (hosts[11], "x", "allow")]).collect()
+    eye, good, bad = np.eye(12), np.eye(12)[11], np.eye(12)[0]
+    trust = np.linalg.solve(eye - 0.85 * a.T, 0.15 * good)
+    distrust = np.linalg.solve(eye - 0.85 * (a / a.sum(0)), 0.15 * bad)
+    for r in out:
+        i = r.page_id
+        assert (r.trust, r.distrust) == (pytest.approx(trust[i], abs=1e-5), pytest.approx(distrust[i], abs=1e-5))
+        assert i in (0, 11) or r.verdict == ("block" if distrust[i] >= 0.05 and distrust[i] > trust[i] else "allow")
+    assert len(out) == 12
+
+
 def test_lexicon():
     lex = toxicity.Lexicon({toxicity.fold("trash"): 4.0, toxicity.fold("idiot"): 4.0})
     bad, fine = lex.score("you 1d10t there"), lex.score("put it in the trash can now")
