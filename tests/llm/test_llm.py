@@ -1,4 +1,5 @@
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -169,6 +170,34 @@ def test_license_inheritance(spark):
     assert got["a/b/c/x.py"] == ("MIT", "a") and got["a/b/y.py"] == ("CC-BY-NC-4.0", None) and got["z.py"] == (None, None) and got["a/LICENSE"] == ("MIT", None)
 
 
+def test_license_texts_headers_and_prose(spark):
+    whole = {name: text for name, text in licenses.TEXTS}
+    wrapped = "\n".join(f"# {line}" for line in textwrap.wrap(whole["BSD-3-Clause"], 60))
+    rows = [(f"{n}/COPYING.txt", "Copyright (c) 2020 Foo Bar. All rights reserved.\n\n" + t, n) for n, t in whole.items()]
+    rows += [(f"x/{i}", t, n) for i, (t, n) in enumerate([
+        ("Copyright (c) 2020 Foo Bar. All rights reserved.", "Proprietary"), ("SPDX-License-Identifier: MIT", "MIT"), ("MIT License", "MIT"), ("GNU GENERAL PUBLIC LICENSE", "GPL-1.0-or-later"), ("Mozilla Public License Version 2.0", "MPL-2.0"),
+        ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "CC-BY-4.0"), ("It was released under the MIT License. " + "words go on " * 30, "MIT"), (wrapped + "\nbody = 1" * 400, "BSD-3-Clause"), ("the license of a thing, and the rights of all", None)])]
+    got = {r.path: r for r in licenses.scan(spark.createDataFrame(rows, "path string, text string, want string")).collect()}
+    assert len(got) == len(rows)
+    for path, _, want in rows:
+        assert got[path].found == ([want] if want else []), path
+        assert got[path].is_license_file or path.startswith("x/")
+
+
+def test_runs_of_terms_equal_brute_force():
+    m = licenses.Matcher({"": 1000, "the": 700, "of": 300, "license": 20})
+    rng = np.random.default_rng(2)
+    k = next(i for i, (n, _) in enumerate(licenses.TEMPLATES) if n == "MPL-2.0")
+    own = licenses._terms(licenses.TEMPLATES[k][1])
+    size = len(own)
+    for _ in range(5):
+        terms = [*rng.choice(["the", "of", "zzz", "source"], 40), *(w for w in own if rng.random() > 0.15), *rng.choice(["the", "of", "yyy"], 40)]
+        unit = [m._unit(Counter(terms[i : i + size])) for i in range(len(terms) - size + 1)]
+        best = max(sum(x * u.get(t, 0.0) for t, x in m.units[k].items()) for u in unit)
+        got = m.runs(k, terms)
+        assert (got[0][0] == pytest.approx(best)) if best >= licenses.SIMILARITY else not got
+
+
 def brute_components(rows, k, percent):
     sets = {}
     for i, t in rows:
