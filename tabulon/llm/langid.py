@@ -23,11 +23,11 @@ CENTROIDS = 3
 #: At most about so many labelled rows are learned from, shared among languages.
 TRAIN_ROWS = 2400
 REJECT_QUANTILE = 0.995
-_BMP = 1 << 16
+_CODE_POINTS = 0x110000
 
 
 def _letters() -> np.ndarray:
-    return np.array([chr(c).isalpha() for c in range(_BMP)])
+    return np.array([chr(c).isalpha() for c in range(_CODE_POINTS)])
 
 
 _IS_LETTER: list[np.ndarray] = []
@@ -40,7 +40,7 @@ def counts(text: str | None) -> np.ndarray | None:
     if not _IS_LETTER:
         _IS_LETTER.append(_letters())
     c = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    letter = _IS_LETTER[0][np.minimum(c, _BMP - 1)] | (c >= _BMP)
+    letter = _IS_LETTER[0][c]
     if not letter.any():
         return None
     c = np.where(letter, c, np.uint32(32))

@@ -135,6 +135,11 @@ def test_language_held_out(spark):
     assert got >= 0.98
 
 
+def test_letters_beyond_the_first_plane():
+    assert langid.counts("\U0001f600 12 \U0001f680!") is None and langid.counts("\ud800 1") is None
+    assert langid.counts("\U00020000") is not None and langid.counts("\U00010400") is not None
+
+
 def test_html_main_text():
     page = "<html><body><nav><a href=/>Home</a></nav><div class='post-12'><h1>T &amp; U</h1><p>First  para, long enough.<br>More.<p>Second<script>x</script> para.</div><div class=comments><p>Reader says, this.</p></div><footer>f</footer>"
     assert htmlextract.extract(page, None) == "T & U\n\nFirst para, long enough. More.\n\nSecond para."
