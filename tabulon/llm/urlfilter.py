@@ -81,15 +81,15 @@ def propagate(seeds: DataFrame, edges: DataFrame, tolerance: float = TOLERANCE,
 def host_verdicts(pages: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """host, trust, distrust and host_verdict for the hosts of judged pages.
 
-    Seeds are the shares of a host's ruled pages that are allowed or blocked.
+    Seeds are the shares of all of a host's pages that rules allow or block, so
+    that without links a host is blocked from a third of its pages on.
     Trust flows along links; distrust against them, to the hosts that link to
     blocked ones. A host is blocked when its distrust reaches the threshold
     and exceeds its trust.
     """
     edges = cut(host_edges(pages))
-    seeds = cut(pages.where("host <> ''").groupBy("host").agg(F.count_if(F.col("by_rule") == "allow").alias("a"), F.count_if(F.col("by_rule") == "block").alias("b")))
-    ruled = F.greatest(F.col("a") + F.col("b"), F.lit(1))
-    seeds = seeds.select("host", (F.col("a") / ruled).alias("good"), (F.col("b") / ruled).alias("bad"))
+    seeds = cut(pages.where("host <> ''").groupBy("host").agg(F.count_if(F.col("by_rule") == "allow").alias("a"), F.count_if(F.col("by_rule") == "block").alias("b"), F.count("*").alias("_all")))
+    seeds = seeds.select("host", (F.col("a") / F.col("_all")).alias("good"), (F.col("b") / F.col("_all")).alias("bad"))
     out = edges.groupBy(F.col("dst").alias("_dst")).agg(F.sum("share").alias("_in"))
     back = edges.join(out, F.col("dst") == F.col("_dst")).select(F.col("dst").alias("src"), F.col("src").alias("dst"), (F.col("share") / F.col("_in")).alias("share"))
     tolerance = math.inf if edges.isEmpty() else TOLERANCE

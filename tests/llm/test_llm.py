@@ -116,6 +116,12 @@ def test_url_mass_equals_the_limit(spark):
     assert len(out) == 12
 
 
+def test_url_seeds_weigh_all_pages(spark):
+    rows = [(i, f"http://few.com/{'en/' if i == 0 else 'ok/'}{i}", "") for i in range(40)] + [(100 + i, f"http://many.com/{'en/' if i < 20 else 'ok/'}{i}", "") for i in range(40)]
+    got = {r.page_id: (r.verdict, r.distrust) for r in urlfilter.op4(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[0] == ("block", pytest.approx(0.15 / 40)) and all(got[i][0] == "allow" for i in range(1, 40)) and all(got[100 + i][0] == "block" for i in range(40))
+
+
 def test_lexicon():
     lex = toxicity.Lexicon({toxicity.fold("trash"): 4.0, toxicity.fold("idiot"): 4.0})
     bad, fine = lex.score("you 1d10t there"), lex.score("put it in the trash can now")
