@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import among, cut, distinct, mix64, shingle_hashes, word_hashes
+from .common import among, cut, distinct, grown, mix64, shingle_hashes, word_hashes
 
 SHINGLE = 4
 PERCENT = 85
@@ -281,17 +281,51 @@ def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """docs with _same: a hash of the word sequence; null without words."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            words = [word_hashes(t.as_py()) for t in b.column(at)]
+            same = [hashlib.md5(w.tobytes()).digest() if len(w) else None for w in words]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(same, pa.binary())], names=[*b.schema.names, "_same"])
+
+    return docs.mapInArrow(run, grown(docs.schema, "_same binary"))
+
+
+def _distinct_rows(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """distinct_documents where ids are missing or repeated: each text of an id is a node of its own, first texts of ids before others."""
+    keyed = _keyed(docs)
+    texts = keyed.where("doc_id is not null and _same is not null").select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"), "_same").distinct()
+    first = texts.groupBy(F.col("_id").alias("_i")).agg(F.min("_text").alias("_first"))
+    texts = texts.join(first, F.col("_id") == F.col("_i")).orderBy(F.col("_text") != F.col("_first"), "_id", "_text")
+    nodes = cut(texts.select(F.monotonically_increasing_id().alias("_node"), "_id", "_text", "_same"))
+    found = jaccard_join(nodes.select(F.col("_node").alias("doc_id"), F.col("_text").alias("text")), shingle, percent)
+    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone"))
+    left = cut(nodes.join(gone, F.col("_node") == F.col("_gone"), "left_anti"))
+    best = left.groupBy(F.col("_id").alias("_i")).agg(F.min("_text").alias("_t"))
+    over = left.join(best, F.col("_id") == F.col("_i")).where(F.col("_text") != F.col("_t")).select(F.col("_node").alias("_over"))
+    held = nodes.join(over, F.col("_node") == F.col("_over"), "left_anti").select(F.col("_same").alias("_held")).distinct()
+    out = keyed.where("_same is null")
+    out = out.unionByName(keyed.where("doc_id is not null and _same is not null").join(best, (F.col("doc_id") == F.col("_i")) & (F.col("text") == F.col("_t")), "left_semi"))
+    return out.unionByName(keyed.where("doc_id is null and _same is not null").join(held, F.col("_same") == F.col("_held"), "left_anti")).select(*docs.columns)
+
+
 def distinct_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """docs with one document of each group of linked ones, that of smallest id, in the same columns.
 
     Rows without words stay, for they link with nothing; of rows that share a
-    doc_id, those with the text that sorts first stay. Rows without a doc_id
-    stay unless a row with an id has an equal text.
+    doc_id and are no copies of other documents, those with the text that sorts
+    first stay. Rows without a doc_id stay unless a row with an id has an equal
+    text, other than one left out for a text of its id that sorts first.
     """
+    odd = docs.groupBy("doc_id").agg(F.count("*").alias("_n")).where("doc_id is null or _n > 1")
+    if not odd.isEmpty():
+        return _distinct_rows(docs, shingle, percent)
     found = jaccard_join(docs, shingle, percent)
-    gone = found.where("doc_id is not null and component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    out = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    return out.select(*docs.columns)
+    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone"))
+    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti").select(*docs.columns)
 
 
 def op9(docs: DataFrame) -> DataFrame:

@@ -244,6 +244,30 @@ def test_jaccard_equals_brute_force(spark):
     assert {tuple(r) for r in got.collect()} == brute_components(rows, 4, 85)
 
 
+def test_distinct_documents_decides_by_row(spark):
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(20)) for x in "abcde")
+    near = a + " more"
+    rows = [(1, a), (2, a), (2, c), (3, b), (3, d), (4, d), (5, near), (None, a.upper()), (None, e), (None, e), (None, ""), (6, ""), (6, None), (7, e + " x y z u v w q r s")]
+    got = jaccard.distinct_documents(spark.createDataFrame(rows, "doc_id long, text string").withColumn("extra", F.lit(1)))
+    want = [(1, a), (2, c), (3, b), (4, d), (None, e), (None, e), (None, ""), (6, ""), (6, None), rows[-1]]
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter(want) and got.columns == ["doc_id", "text", "extra"]
+
+
+def test_distinct_documents_equal_brute_force(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for _ in range(12):
+        base = [f"w{x}" for x in rng.integers(0, 90, 60)]
+        for _ in range(5):
+            w = [*base]
+            for _ in range(int(rng.integers(0, 3))):
+                w[int(rng.integers(len(w)))] = f"z{rng.integers(9)}"
+            rows.append((len(rows), " ".join(w)))
+    kept = {i for i, _, comp in brute_components(rows, 5, 80) if comp == i}
+    got = jaccard.distinct_documents(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in got.collect()) == sorted(kept) and len(kept) < len(rows)
+
+
 @pytest.mark.parametrize("rows", [[], ODD], ids=["empty", "odd"])
 def test_odd_tables(spark, rows):
     d = spark.createDataFrame(rows, DOCS)
