@@ -46,7 +46,7 @@ STAGES = [
     ("sharding", sharding),
 ]
 
-#: Automata, fingerprints and draws have no SQL form; tests hold the stages to brute force.
+#: Automata, fingerprints and draws have no SQL form; tests/llm/test_pipeline.py holds the stages to brute force.
 ORACLE_SQL = None
 
 
