@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
+import re
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 import numpy as np
 import xxhash
@@ -18,10 +21,12 @@ _MASK = (1 << 64) - 1
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a local one only where that is unset (tests)."""
+    """The folder in spark.checkpoint.dir. Where that is unset, one of this machine if Spark runs on it alone, else an error: executors elsewhere would not see it."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
+        if not named and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="tabulon-ckpt-"))
     return named or sc.getCheckpointDir()
 
@@ -32,6 +37,29 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+class Scratch:
+    """Tables of one run, as Parquet in a folder of their own below the shared one; a table goes when the run no longer needs it."""
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self.spark, self.root = spark, stage_path(spark, name)
+        self.made = 0
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """df, written once and read back: cut from its lineage, of known size and without a partitioning that would bind later joins to it."""
+        path, self.made = f"{self.root}/{self.made}", self.made + 1
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        out._scratch_path = path
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Deletes the files of tables that keep() made; nothing may read them any more."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        for t in tables:
+            p = jvm.org.apache.hadoop.fs.Path(t._scratch_path)
+            p.getFileSystem(conf).delete(p, True)
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder for a written table."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -46,6 +74,39 @@ def grown(schema: StructType, ddl: str) -> StructType:
     return StructType([*schema.fields, *StructType.fromDDL(ddl).fields])
 
 
+def fresh(names: Iterable[str], *wanted: str) -> list[str]:
+    """Names for internal columns that no given name equals, in any case."""
+    taken, out = {n.lower() for n in names}, []
+    for w in wanted:
+        while w.lower() in taken:
+            w += "_"
+        taken.add(w.lower())
+        out.append(w)
+    return out
+
+
+#: Most buckets of a bitmap of ids: so many bits are broadcast at most (16 MB as rows of 64 bits).
+_BITMAP_MOST = 1 << 26
+
+
+def in_bitmap(df: DataFrame, key: str, ids: DataFrame, count: int, flag: str) -> DataFrame:
+    """df with flag: false where column key is surely none of ids (one long column, about count rows).
+
+    A bitmap of the ids' hash buckets, eight or more buckets an id up to a
+    fixed number of bits, is broadcast; so rows that no join can want stay out
+    of a shuffle. Past that number of ids more and more rows pass.
+    """
+    bits = min(_BITMAP_MOST, 1 << max(10, math.ceil(math.log2(8 * max(count, 1)))))
+    word, at, mask = fresh([*df.columns, flag], "_word", "_at", "_mask")
+    of = lambda c: F.pmod(F.xxhash64(F.lit(9), c), F.lit(bits))
+    one = F.expr("1L")
+    bitmap = ids.select(of(F.col(ids.columns[0])).alias("b")).groupBy(F.shiftright("b", 6).alias(word)).agg(F.bit_or(F.call_function("shiftleft", one, F.col("b").bitwiseAND(F.lit(63)).cast("int"))).alias(mask))
+    out = df.withColumn(at, of(F.col(key)))
+    out = out.join(F.broadcast(bitmap), F.shiftright(F.col(at), 6) == F.col(word), "left")
+    hit = F.call_function("shiftrightunsigned", F.coalesce(F.col(mask), F.lit(0).cast("long")), F.col(at).bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
+    return out.withColumn(flag, F.coalesce(hit, F.lit(False))).drop(word, at, mask)
+
+
 def no_null(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
