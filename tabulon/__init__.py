@@ -1 +1,11 @@
-"""Tabulon: versioned analytic tables planned and executed by Spark."""
+"""Versioned analytic tables and data operators for PySpark.
+
+Functions that run in Python workers are pickled by value, so that executors
+need no installed copy of this package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
