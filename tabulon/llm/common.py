@@ -6,7 +6,7 @@ import math
 import re
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Sequence
 
 import numpy as np
 import xxhash
@@ -85,6 +85,16 @@ def fresh(names: Iterable[str], *wanted: str) -> list[str]:
     return out
 
 
+def sheltered(df: DataFrame, needed: Sequence[str], f: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """f(df), for an f that knows only the columns named in needed: all others travel in one struct, where no internal name can clash with theirs. The result has df's columns, then those that f adds."""
+    extra = [c for c in df.columns if c not in needed]
+    if not extra:
+        return f(df)
+    named = lambda c: F.col("`" + c.replace("`", "``") + "`")
+    out = f(df.select(*[c for c in df.columns if c in needed], F.struct(*[named(c).alias(c) for c in extra]).alias("_sheltered")))
+    return out.select(*[F.col(c) if c in needed else F.col("_sheltered").getField(c).alias(c) for c in df.columns if c not in needed or c in out.columns], *[c for c in out.columns if c not in needed and c != "_sheltered"])
+
+
 #: Most buckets of a bitmap of ids: so many bits are broadcast at most (16 MB as rows of 64 bits).
 _BITMAP_MOST = 1 << 26
 
@@ -144,7 +154,7 @@ class WordHash(dict):
     """word (bytes) -> 64-bit hash, remembered; emptied when it grows too large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 100_000:
             self.clear()
         self[word] = h = xxhash.xxh3_64_intdigest(word)
         return h
