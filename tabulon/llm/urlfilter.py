@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, no_null
+from .common import Scratch, no_null, sheltered
 
 #: (host, path, verdict) of the production rules.
 RULES = (
@@ -23,7 +23,7 @@ DAMPING = 0.85
 #: Bound on the mass of all hosts together that the rounds left out could still add; far below THRESHOLD.
 TOLERANCE = 1e-6
 #: Rounds between two writes of the ranks.
-_WRITE = 4
+_WRITE = 8
 THRESHOLD = 0.05
 
 
@@ -46,35 +46,56 @@ def judged(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> D
     return out.withColumn("rule", rule).withColumn("by_rule", verdict)
 
 
+def parent_of(host: Column) -> Column:
+    """The domain above a host; null where that would be a top-level name, and for addresses."""
+    up = F.regexp_extract(host, r"^[^.]+\.(.+\..+)$", 1)
+    return F.when((up != "") & ~host.rlike(r"^[0-9.]+(:[0-9]*)?$|^\["), up)
+
+
 def host_edges(pages: DataFrame) -> DataFrame:
-    """src, dst, share: links between hosts, as a share of the links that leave src."""
+    """src, dst, share: edges between hosts, as a share of those that leave src.
+
+    A page's links to other hosts are edges, and a host and the domain above it
+    are linked both ways, as if by one link: pages that link to no other host
+    still belong to a domain, and what is known of one part of a domain reaches
+    its other parts through it.
+    """
     found = F.regexp_extract_all(no_null(F.col("html")), F.lit(r"(?i)\shref\s*=\s*[\"']?(?:https?:)?//([^/?#\"'\s>]+)"), F.lit(1))
     links = pages.select("host", F.explode(found).alias("_to")).select(F.col("host").alias("src"), F.translate("_to", string.ascii_uppercase, string.ascii_lowercase).alias("dst"))
     links = links.where("src <> '' and src <> dst").groupBy("src", "dst").agg(F.count("*").alias("n"))
+    hosts = pages.select("host").where("host <> ''").distinct().select("host", parent_of(F.col("host")).alias("up")).where("up is not null")
+    above = hosts.select(F.col("host").alias("src"), F.col("up").alias("dst"), F.lit(1).cast("long").alias("n"))
+    links = links.unionByName(above).unionByName(above.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n")).groupBy("src", "dst").agg(F.sum("n").alias("n"))
     out = links.groupBy(F.col("src").alias("_src")).agg(F.sum("n").alias("_all"))
     return links.join(out, F.col("src") == F.col("_src")).select("src", "dst", (F.col("n") / F.col("_all")).alias("share"))
 
 
 def propagate(seeds: DataFrame, edges: DataFrame, tolerance: float = TOLERANCE, damping: float = DAMPING) -> DataFrame:
-    """Personalised PageRank: host, mass, from seeds (host, seed) along edges (src, dst, share).
+    """Personalised PageRank: kind, host, mass, from seeds (kind, host, seed) along edges (kind, src, dst, share); kinds do not mix.
 
     Each round adds at most damping times what the one before it added, over
     all hosts. Rounds end when what is left to add is within tolerance, so no
-    host's mass is further than that from the limit. Sums of contributions are
-    made before the shuffle; ranks are written out every few rounds, so that a
-    lost executor costs few rounds.
+    host's mass is further than that from the limit. Mass that reaches a host
+    without edges ends there. Sums of contributions are made before the
+    shuffle; ranks are written out every few rounds, so that a lost executor
+    costs few rounds.
     """
-    base = seeds.select("host", (F.col("seed") * F.lit(1 - damping)).alias("mass"))
+    disk = Scratch(seeds.sparkSession, "ranks")
+    base = disk.keep(seeds.select("kind", "host", (F.col("seed") * F.lit(1 - damping)).alias("mass")).where("mass > 0"))
     total = base.agg(F.sum("mass")).first()[0] or 0.0
     left = total * damping / (1 - damping)
     rank, kept = base, damping**_WRITE
+    links = edges.select(F.col("kind").alias("_kind"), "src", "dst", "share")
     while left > tolerance:
+        before = rank
         for _ in range(_WRITE):
-            moved = edges.join(rank, F.col("src") == F.col("host")).select(F.col("dst").alias("host"), (F.col("mass") * F.col("share") * F.lit(damping)).alias("mass"))
-            rank = base.unionByName(moved).groupBy("host").agg(F.sum("mass").alias("mass"))
-        rank = cut(rank)
-        before, total = total, rank.agg(F.sum("mass")).first()[0]
-        left = min(left * kept, (total - before) * kept / (1 - kept))
+            moved = links.join(rank, (F.col("_kind") == F.col("kind")) & (F.col("src") == F.col("host"))).select("kind", F.col("dst").alias("host"), (F.col("mass") * F.col("share") * F.lit(damping)).alias("mass"))
+            rank = base.unionByName(moved).groupBy("kind", "host").agg(F.sum("mass").alias("mass"))
+        rank = disk.keep(rank)
+        if before is not base:
+            disk.drop(before)
+        was, total = total, rank.agg(F.sum("mass")).first()[0] or 0.0
+        left = min(left * kept, max(0.0, total - was) * kept / (1 - kept))
     return rank
 
 
@@ -82,22 +103,22 @@ def host_verdicts(pages: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """host, trust, distrust and host_verdict for the hosts of judged pages.
 
     Seeds are the shares of all of a host's pages that rules allow or block, so
-    that without links a host is blocked from a third of its pages on.
-    Trust flows along links; distrust against them, to the hosts that link to
+    that without edges a host is blocked from a third of its pages on.
+    Trust flows along edges; distrust against them, to the hosts that link to
     blocked ones. A host is blocked when its distrust reaches the threshold
     and exceeds its trust.
     """
-    edges = cut(host_edges(pages))
-    seeds = cut(pages.where("host <> ''").groupBy("host").agg(F.count_if(F.col("by_rule") == "allow").alias("a"), F.count_if(F.col("by_rule") == "block").alias("b"), F.count("*").alias("_all")))
-    seeds = seeds.select("host", (F.col("a") / F.col("_all")).alias("good"), (F.col("b") / F.col("_all")).alias("bad"))
+    disk = Scratch(pages.sparkSession, "hosts")
+    edges = disk.keep(host_edges(pages))
+    seeds = disk.keep(pages.where("host <> ''").groupBy("host").agg(F.count_if(F.col("by_rule") == "allow").alias("a"), F.count_if(F.col("by_rule") == "block").alias("b"), F.count("*").alias("_all")))
+    seeds = seeds.select("host", F.explode(F.array(F.struct(F.lit("trust").alias("kind"), (F.col("a") / F.col("_all")).alias("seed")), F.struct(F.lit("distrust").alias("kind"), (F.col("b") / F.col("_all")).alias("seed")))).alias("s")).select("s.kind", "host", "s.seed")
     out = edges.groupBy(F.col("dst").alias("_dst")).agg(F.sum("share").alias("_in"))
-    back = edges.join(out, F.col("dst") == F.col("_dst")).select(F.col("dst").alias("src"), F.col("src").alias("dst"), (F.col("share") / F.col("_in")).alias("share"))
-    tolerance = math.inf if edges.isEmpty() else TOLERANCE
-    trust = propagate(seeds.select("host", F.col("good").alias("seed")), edges, tolerance).select("host", F.col("mass").alias("trust"))
-    distrust = propagate(seeds.select("host", F.col("bad").alias("seed")), cut(back), tolerance).select("host", F.col("mass").alias("distrust"))
-    both = trust.unionByName(distrust, allowMissingColumns=True).groupBy("host").agg(F.coalesce(F.sum("trust"), F.lit(0.0)).alias("trust"), F.coalesce(F.sum("distrust"), F.lit(0.0)).alias("distrust"))
+    back = edges.join(out, F.col("dst") == F.col("_dst")).select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), (F.col("share") / F.col("_in")).alias("share"))
+    both = disk.keep(edges.select(F.lit("trust").alias("kind"), "src", "dst", "share").unionByName(back))
+    ranks = propagate(seeds, both, math.inf if both.isEmpty() else TOLERANCE)
+    of = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("mass")).otherwise(0.0)).alias(kind)
     bad = (F.col("distrust") >= F.lit(threshold)) & (F.col("distrust") > F.col("trust"))
-    return both.withColumn("host_verdict", F.when(bad, F.lit("block")).otherwise(F.lit("allow")))
+    return ranks.groupBy("host").agg(of("trust"), of("distrust")).withColumn("host_verdict", F.when(bad, F.lit("block")).otherwise(F.lit("allow")))
 
 
 def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
@@ -105,15 +126,21 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES)
 
     The verdict is the rule's, else the host's. Pages without a host (null or
     no ://) have empty host and path, no rule and verdict allow. Repeated rows
-    stay; an empty table stays empty; columns with these names are replaced.
+    stay; an empty table stays empty; columns with these names are replaced,
+    others may have any names.
     """
-    own = [c for c in pages.columns if c not in ("host", "path", "rule", "by_rule", "trust", "distrust", "host_verdict", "verdict")]
-    seen = judged(pages.select(*own), rules)
+    own = [c for c in pages.columns if c not in ("host", "path", "rule", "trust", "distrust", "verdict")]
+    return sheltered(pages.select(*["`" + c.replace("`", "``") + "`" for c in own]), ("url", "html"), lambda p: _filtered(p, rules))
+
+
+def _filtered(pages: DataFrame, rules: Sequence[tuple[str, str, str]]) -> DataFrame:
+    seen = judged(pages, rules)
     hosts = host_verdicts(seen).select(F.col("host").alias("_host"), "trust", "distrust", "host_verdict")
-    out = seen.join(hosts, F.col("host") == F.col("_host"), "left").drop("_host")
+    out = seen.join(hosts, F.col("host") == F.col("_host"), "left").drop("_host").fillna(0.0, ["trust", "distrust"])
     return out.withColumn("verdict", F.coalesce("by_rule", "host_verdict", F.lit("allow"))).drop("by_rule", "host_verdict")
 
 
 def op4(pages: DataFrame) -> DataFrame:
+    """Every page with its verdict; null urls have empty host and path."""
     out = filter_urls(pages.select("page_id", "url", "html"))
     return out.select("page_id", "host", "path", "rule", "verdict", "trust", "distrust")
