@@ -22,15 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, among, mix64, shingle_hashes
+from .common import WordHash, among, cut, fresh, mix64, shingle_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BITS, BLOCKS = 128, 8
 RADIUS = 31
-#: Items of one pass over the documents, and in all; more is an error.
+#: Items of one pass over the documents; above MAX_ITEMS in all, documents are joined with the items that can be in them instead.
 ITEMS_PER_PASS = 1000
-MAX_ITEMS = 100_000
+MAX_ITEMS = 10_000
 _WORD = re.compile(r"\w+")
 
 
@@ -153,18 +153,22 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", leaks: str
     """docs with an array of the benchmark items found in each whole text.
 
     Null, empty and wordless texts and items have no leaks; an item without an
-    id is found under a null id; equal items are found each. A document with
-    fewer words than an item is one window. Items go over the documents in
-    blocks of ITEMS_PER_PASS. A column of docs with that name is replaced.
+    id is found under a null id; equal items are found each, repeated rows of
+    an item once. A document with fewer words than an item is one window.
+    Repeated documents fare alike; empty tables give no leaks. Up to MAX_ITEMS
+    items go over the documents in blocks of ITEMS_PER_PASS; more stay in the
+    cluster. A column of docs with that name is replaced, others may have any
+    names.
     """
-    known = items.select(F.col("item_id").cast("long"), "text").distinct().limit(MAX_ITEMS + 1).collect()
-    if len(known) > MAX_ITEMS:
-        raise ValueError(f"more than {MAX_ITEMS} benchmark items")
-    known = sorted(((r[0], r[1]) for r in known), key=str)
+    asked = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text")).distinct()
+    known = asked.limit(MAX_ITEMS + 1).collect()
     out = docs.drop(leaks)
     names = out.columns
     at = names.index(text)
     out = out.withColumn(leaks, F.expr(f"cast(array() as {_LEAK_SQL})"))
+    if len(known) > MAX_ITEMS:
+        return _by_candidates(out, cut(asked), at, leaks)
+    known = sorted(((r[0], r[1]) for r in known), key=str)
     schema = out.schema
 
     def search(block: list) -> DataFrame:
@@ -181,9 +185,57 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", leaks: str
     return out
 
 
+def _shingled(df: DataFrame, key: str, text: int, needed: bool) -> DataFrame:
+    """key and h: the distinct shingles of each text, hashed. needed: only as many of the least hashes as leave fewer than SIMILARITY of all, so that a window that is similar has one of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHash()
+        for b in batches:
+            rows = []
+            for t in b.column(1):
+                words = words_of(t.as_py())
+                h = np.fromiter((hashes[w.encode()] for w in words), np.uint64, len(words))
+                if needed:
+                    all_ = np.sort(mix64(shingle_hashes(h, SHINGLE)))
+                    rows.append(np.unique(all_[: len(all_) - int(np.ceil(SIMILARITY * len(all_) - 1e-9)) + 1]).view(np.int64))
+                else:
+                    short = [shingle_hashes(h[i : i + n], SHINGLE) for n in range(1, SHINGLE) for i in range(len(h) - n + 1)]
+                    whole = shingle_hashes(h, SHINGLE) if len(h) >= SHINGLE else np.zeros(0, np.uint64)
+                    rows.append(np.unique(mix64(np.concatenate([whole, *short]))).view(np.int64))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.list_(pa.int64()))], names=["key", "hs"])
+
+    return df.select(key, df.columns[text]).mapInArrow(run, "key long, hs array<long>").select("key", F.explode("hs").alias("h"))
+
+
+def _by_candidates(docs: DataFrame, items: DataFrame, at: int, leaks: str) -> DataFrame:
+    """find_leaks for any number of items: a document meets the items that it shares a needed shingle with, found by a join on shingles. Fingerprints and similarity then decide as they do in an index of all items."""
+    row, item, found = fresh(docs.columns, "_row", "_item", "_found")
+    rows = cut(docs.withColumn(row, F.monotonically_increasing_id()))
+    numbered = cut(items.withColumn("n", F.monotonically_increasing_id()))
+    # An item's shingles are few and its text is short, so documents' shingles are first held against those that items need at all.
+    wanted = _shingled(numbered.select("n", "text"), "n", 1, True)
+    pairs = _shingled(rows, row, at, False).alias("d").join(wanted.alias("i"), "h").select(F.col("d.key").alias("d"), F.col("i.key").alias("i")).distinct()
+    texts = pairs.join(numbered, F.col("i") == F.col("n")).select("d", F.struct("item_id", "text").alias("e"))
+    body = rows.select(F.col(row).alias("r"), F.col(rows.columns[at]).alias("body"))
+    # A pair at a time, so that a document's items need not fit into a task.
+    kind = f"r long, f {_LEAK_SQL}"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = [Index([(e["item_id"], e["text"])]).leaks(t) for t, e in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
+            keep = [i for i, g in enumerate(got) if g]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(keep, pa.int64())), pa.array([got[i] for i in keep], _LEAK)], names=["r", "f"])
+
+    hits = body.join(texts, F.col("r") == F.col("d")).select("r", "body", "e").mapInArrow(run, kind)
+    per = hits.groupBy(F.col("r").alias(item)).agg(F.array_sort(F.flatten(F.collect_list("f"))).alias(found))
+    out = rows.join(per, F.col(row) == F.col(item), "left").withColumn(leaks, F.coalesce(found, leaks))
+    return out.drop(row, item, found)
+
+
 def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """docs without those that hold a benchmark item, in the same columns."""
-    return find_leaks(docs, items, leaks="_leaks").where("size(_leaks) = 0").select(*docs.columns)
+    """docs without those that hold a benchmark item, in the same columns, whatever their names; null and empty texts stay."""
+    (leaks,) = fresh(docs.columns, "_leaks")
+    return find_leaks(docs, items, leaks=leaks).where(F.size(leaks) == 0).select(*docs.columns)
 
 
 def op3(docs: DataFrame, items: DataFrame) -> DataFrame:
