@@ -16,7 +16,7 @@ import heapq
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, no_null
+from .common import cut, no_null, sheltered
 
 SHARDS = 40
 RANGES_PER_SHARD = 64
@@ -85,10 +85,15 @@ def shard(docs: DataFrame, shards: int = SHARDS, ranges_per_shard: int = RANGES_
     Shards are nearly equal in bytes (of text, 16 more for each row) and slots
     have no gaps. Null text counts as empty, null ids sort first, repeated
     rows are rows of their own; an empty table stays empty. Columns of docs
-    named size, shard or slot are replaced. Equal texts are in one shard,
-    except where their range is overfull.
+    named size, shard or slot are replaced, others may have any names. Equal
+    texts are in one shard, except where their range is overfull; rows equal in
+    both id and text always are.
     """
-    keyed = _keyed(docs.drop("size", "shard", "slot"))
+    return sheltered(docs.drop("size", "shard", "slot"), ("doc_id", "text"), lambda d: _sharded(d, shards, ranges_per_shard))
+
+
+def _sharded(docs: DataFrame, shards: int, ranges_per_shard: int) -> DataFrame:
+    keyed = _keyed(docs)
     keys = cut(keyed.select("_h1", "_h2", "_size"))
     total = keys.agg(F.sum("_size")).collect()[0][0] or 0
     ranges = shards * ranges_per_shard
@@ -110,5 +115,6 @@ def shard(docs: DataFrame, shards: int = SHARDS, ranges_per_shard: int = RANGES_
 
 
 def op10(docs: DataFrame) -> DataFrame:
+    """Every row with its shard and slot; a null text has no bytes and a row of it 16."""
     out = shard(docs.select("doc_id", "text", F.crc32(F.encode(no_null(F.col("text")), "UTF-8")).alias("text_crc32")))
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
