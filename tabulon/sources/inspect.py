@@ -83,10 +83,11 @@ def readable(t: Table, df: DataFrame):
     return F.struct(*out).alias("readable_metrics")
 
 
-def _files(t: Table, manifests: list[dict], content: str | None) -> DataFrame:
+def _files(t: Table, manifests: list[dict], content: str | None, every: bool = False) -> DataFrame:
     chosen = [m for m in manifests if content in (None, m["content"])]
     df = t.entries(chosen).where("status <> 2")
-    return df.select(*_FILE, readable(t, df)).dropDuplicates(["file_path"])
+    out = df.select(*_FILE, readable(t, df))
+    return out.dropDuplicates(["file_path"]) if every else out
 
 
 def _partitions(t: Table) -> DataFrame:
@@ -123,7 +124,7 @@ def inspect(t: Table, what: str) -> DataFrame:
         "snapshots": lambda: _snapshots(t), "history": lambda: _history(t), "refs": lambda: _refs(t), "metadata_log_entries": lambda: _log(t), "partitions": lambda: _partitions(t), "position_deletes": lambda: _position_deletes(t),
         "manifests": lambda: _manifests(t, [head] if head else [], False), "all_manifests": lambda: _manifests(t, t.meta["snapshots"], True), "entries": lambda: _entries(t, here), "all_entries": lambda: _entries(t, _every(t)),
         "files": lambda: _files(t, here, None), "data_files": lambda: _files(t, here, "data"), "delete_files": lambda: _files(t, here, "deletes"),
-        "all_files": lambda: _files(t, _every(t), None), "all_data_files": lambda: _files(t, _every(t), "data"), "all_delete_files": lambda: _files(t, _every(t), "deletes"),
+        "all_files": lambda: _files(t, _every(t), None, True), "all_data_files": lambda: _files(t, _every(t), "data", True), "all_delete_files": lambda: _files(t, _every(t), "deletes", True),
     }
     if what not in made:
         raise ValueError(f"no metadata table {what!r}")

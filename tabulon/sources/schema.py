@@ -82,6 +82,12 @@ def by_id(schema: StructType) -> dict[int, tuple[tuple[str, ...], StructField]]:
     return out
 
 
+def paired(a: StructType, b: StructType) -> list[tuple[int, StructField | None, StructField | None]]:
+    """Fields of two schemas by id: those of both, of the first only and of the second only."""
+    x, y = by_id(a), by_id(b)
+    return [(i, x[i][1] if i in x else None, y[i][1] if i in y else None) for i in sorted(x.keys() | y.keys())]
+
+
 def pruned(schema: StructType, ids: set[int]) -> StructType:
     """Only the fields with these ids and what leads to them."""
 

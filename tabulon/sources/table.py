@@ -70,6 +70,8 @@ class Table:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root, self.files = spark, root.rstrip("/"), Files(spark, root)
         self.meta: dict = {}
+        self.staged: list[str] = []  # folders of this handle's commit: what only the commit needs, and its new files
+        self.folders: list[str] = []
 
     # Documents
 
@@ -287,7 +289,8 @@ class Table:
     def _location(self, branch: str) -> str:
         base = (self.property("write.data.path") or f"{self.files.root_uri}/data").rstrip("/")
         name = uuid.uuid4().hex
-        return unquote(f"{base}/{name[:4]}/{name[4:6]}/{name}" if self.property("write.object-storage.enabled") == "true" else f"{base}/{name}")
+        self.folders.append(unquote(f"{base}/{name[:4]}/{name[4:6]}/{name}" if self.property("write.object-storage.enabled") == "true" else f"{base}/{name}"))
+        return self.folders[-1]
 
     def _options(self, writer, schema: StructType):
         p = self.property
@@ -317,7 +320,7 @@ class Table:
                 c = F.when(c.isNull(), F.raise_error(F.lit(f"null in required column {f.name}"))).otherwise(c)
             cols.append(c.alias(f.name))
         if lineage:
-            cols += [F.col(c) for c in _LINEAGE]
+            cols += [(F.col(c) if c in df.columns else F.lit(None)).cast(k).alias(c) for c, k in _LINEAGE.items()]
         out, at = df.select(*cols), schemas.by_id(full)
         names, keys = [], []
         for i, f in enumerate(spec):
@@ -339,7 +342,10 @@ class Table:
             out = out.sortWithinPartitions(*names, *order)
         folder = self._location(branch)
         writer = self._options(out.write, full)
-        with _set(self.spark, [("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")]):  # of the other form there are no bounds
+        how = [("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")]  # of the other form there are no bounds
+        if self.property("write.parquet.shred-variants") == "true":
+            how += [("spark.sql.variant.writeShredding.enabled", "true"), ("spark.sql.variant.inferShreddingSchema", "true")]
+        with _set(self.spark, how):
             (writer.partitionBy(*names) if names else writer).parquet(folder)
         return self._entries(measured(self.spark, folder, full, [f["name"] for f in spec], self.meta["properties"]).where("record_count > 0"), 0)
 
@@ -457,8 +463,8 @@ class Table:
         dirty = self._dirty(planned, deletes) if deletes is not None else None
         got = planned.join(dirty, "file_path", "left").select("file_path", "schema_id", F.coalesce("_dirty", F.lit(False)).alias("d")) if dirty is not None else planned.select("file_path", "schema_id", F.lit(False).alias("d"))
         groups: dict[tuple[int, bool], list[str]] = {}
-        for r in got.distinct().toLocalIterator():
-            groups.setdefault((r["schema_id"], r["d"]), []).append(unquote(r["file_path"]))
+        for r in dict.fromkeys(map(tuple, got.select("schema_id", "d", "file_path").collect())):
+            groups.setdefault(r[:2], []).append(unquote(r[2]))
         parts = []
         kept = deletes is not None and any(d for _, d in groups) or lineage or bool(tags)
         for (v, d), paths in sorted(groups.items()):
@@ -621,7 +627,9 @@ class Transaction:
 
     def write(self, df: DataFrame) -> DataFrame:
         """Data files of df that no commit knows yet; commit_files() takes them."""
-        return self.view.write_files(df, branch=self.branch)
+        out = self.view.write_files(df, branch=self.branch)
+        self.view.folders.pop()  # stays, whatever becomes of this transaction
+        return out
 
     def commit_files(self, *written: DataFrame, removed: DataFrame | None = None, operation: str | None = None) -> None:
         """Adds written files, and takes away those at the file_paths of removed."""
@@ -716,7 +724,7 @@ class Transaction:
         v = self.view
         some = bool(v._delete_files(deletes))
         groups: dict[int, list[str]] = {}
-        for r in planned.select("file_path", "schema_id").toLocalIterator():
+        for r in planned.select("file_path", "schema_id").collect():
             groups.setdefault(r["schema_id"], []).append(unquote(r["file_path"]))
         parts = []
         for number, paths in groups.items():
@@ -793,10 +801,11 @@ class Transaction:
         self._stage(Change("delete", self.branch, [self._own(self._key_files(keys))], keys=True, isolation=self.view.property("write.delete.isolation-level")))
 
     def row_delta(self, rows: DataFrame | None = None, keys: DataFrame | None = None, positions: DataFrame | None = None) -> None:
-        """New rows, deleted keys and deleted positions (file_path, pos) in one snapshot. Deleted keys do not touch the new rows."""
+        """New rows, deleted keys and deleted positions (file_path, pos) in one snapshot. Deleted keys do not touch the new rows. Rows with a _row_id (format version 3) are put back under it, as after an update; a null one gets a new id."""
         added, needs, gone = [], None, None
         if rows is not None:
-            added.append(self._own(self.view.write_files(rows, branch=self.branch)))
+            lineage = self.view.property("format-version") == "3" and "_row_id" in rows.columns
+            added.append(self._own(self.view.write_files(rows, lineage, self.branch)))
         if keys is not None and not keys.isEmpty():
             added.append(self._own(self._key_files(keys)))
         if positions is not None and not positions.isEmpty():
@@ -960,6 +969,8 @@ class Transaction:
                     m["first_row_id"] = meta["next_row_id"]
                     meta["next_row_id"] += m["rows"][1]
             self._number(t, snap)
+        if (most := int(t.property("write.summary.partition-limit") or 0)) > 0:
+            snap["summary"] |= self._by_partition(t, [m for m in snap["manifests"] if m["snapshot"] == sid], most)
         if t.property("commit.manifest-merge.enabled") == "true":
             from .maintenance import merged
 
@@ -971,6 +982,18 @@ class Transaction:
             meta["log"] = [*meta["log"], {"ms": now, "snapshot": sid}]
         meta["updated"] = now
 
+    @staticmethod
+    def _by_partition(t: Table, manifests: list[dict], most: int) -> dict[str, str]:
+        """Counts of each partition that a commit changes, if they are few enough."""
+        df = t.entries(manifests).where("status <> 0 and content = 0 and size(partition) > 0")
+        of = lambda s, x: F.sum(F.when(F.col("status") == s, x).otherwise(0))
+        rows = df.groupBy(t._partition_key().alias("k")).agg(F.any_value("partition").alias("p"), of(1, F.lit(1)).alias("a"), of(1, F.col("record_count")).alias("r"), of(2, F.lit(1)).alias("d"), of(2, F.col("record_count")).alias("l")).limit(most + 1).collect()
+        if len(rows) > most:
+            return {}
+        kinds, spec = t.partition_kinds(), {f["name"]: f["transform"] for s in t.meta["specs"] for f in s}
+        name = lambda p: "/".join(f"{k}={transforms.readable(spec[k], value_from(v, kinds[k]))}" for k, v in sorted(p.items()))
+        return {"changed-partition-count": str(len(rows))} | {f"partitions.{name(r['p'])}": f"added-data-files={r['a']},added-records={r['r']},deleted-data-files={r['d']},deleted-records={r['l']}" for r in rows}
+
     def _number(self, t: Table, snap: dict) -> None:
         """First row ids of the files that a commit adds, in the order of their paths: one running sum over its own files."""
         for m in snap["manifests"]:
@@ -1006,6 +1029,22 @@ class Transaction:
         meta = self.view.meta
         if self.table.meta["version"] != self.base["version"]:
             meta = None  # the handle has moved on
+        try:
+            return self._published(meta, tries, wait)
+        except CommitConflict:
+            self._discard()
+            raise
+        finally:
+            for path in self.view.staged:
+                self.view.files.fs.delete(self.view.files.path(path), True)
+
+    def _discard(self) -> None:
+        """Files that were written for a commit that failed go."""
+        paths = [m["path"] for change, _ in self.steps if change is not None for m in change.added]
+        for p in [*self.view.folders, *paths]:
+            self.view.files.fs.delete(self.view.files.path(p), True)
+
+    def _published(self, meta: dict | None, tries: int, wait: int) -> Table:
         while True:
             if meta is not None and self.table._publish(meta):
                 return self.table
@@ -1058,6 +1097,7 @@ class Transaction:
 def _kept(t: Table, df: DataFrame) -> DataFrame:
     """A frame that a commit may need again, written once beside the manifests."""
     path = t._manifest_path().replace("/m-", "/staged-")
+    t.staged.append(path)
     df.write.parquet(path)
     return t.spark.read.schema(df.schema).parquet(path)
 
@@ -1083,6 +1123,7 @@ class Scan:
     case_sensitive: bool = True
     lineage: bool = False
     options: tuple[tuple[str, str], ...] = ()
+    planner: Callable[[Scan], DataFrame] | None = None
 
     def select(self, *names: str) -> Scan:
         return replace(self, columns=names)
@@ -1109,6 +1150,21 @@ class Scan:
         """A Spark setting that holds while this scan is planned and read, such as spark.sql.files.maxPartitionBytes or spark.sql.parquet.columnarReaderBatchSize."""
         return replace(self, options=(*self.options, (name, str(value))))
 
+    def planned_by(self, planner: Callable[[Scan], DataFrame] | None) -> Scan:
+        """Tasks from another planner (such as a service); null: from this table's manifests."""
+        return replace(self, planner=planner)
+
+    def plan_splits(self) -> DataFrame:
+        """Tasks cut into ranges of whole row groups (start and length) of about read.split.target-size; files of unknown row groups are one range."""
+        from pyspark.sql import Window
+
+        size = int(self.table.property("read.split.target-size"))
+        tasks = self.plan_files()
+        parts = tasks.select("file_path", "file_size", F.explode(F.when(F.size("split_offsets") > 0, F.array_sort("split_offsets")).otherwise(F.array(F.lit(0).cast("long")))).alias("start"))
+        after = F.coalesce(F.lead("start").over(Window.partitionBy("file_path").orderBy("start")), F.col("file_size"))
+        parts = parts.withColumn("end", after).withColumn("cut", F.call_function("div", F.col("start"), F.lit(size).cast("long")))
+        return parts.groupBy("file_path", "cut").agg(F.min("start").alias("start"), (F.max("end") - F.min("start")).alias("length")).drop("cut")
+
     def _chosen(self) -> tuple[dict | None, int]:
         t = self.table
         now = t.meta["current_schema"]
@@ -1171,6 +1227,8 @@ class Scan:
             if c != "*":
                 resolve(self.schema(), c, self.case_sensitive)
         snapshot, version = self._chosen()
+        if self.planner is not None:
+            return self.read(self.planner(self))
         plain = self.rows is not None and self._bound() == TRUE
         return self.read(self.plan_files() if plain else self.table.candidates(snapshot, self._bound(), version=version))
 

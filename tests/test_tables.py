@@ -237,8 +237,11 @@ def test_conflicts(spark, tmp_path):
     t = table(spark, tmp_path / "t", "id int", [(1,), (2,)])
     late = Table.load(spark, t.root)
     t.append(spark.createDataFrame([(3,)], "id int"))
+    count = lambda: len(list((tmp_path / "t" / "data").rglob("*.parquet")))
+    before = count()
     with pytest.raises(CommitConflict):
         late.append(spark.createDataFrame([(4,)], "id int"))
+    assert count() == before and not list((tmp_path / "t" / "metadata").glob("staged-*"))
     late.append(spark.createDataFrame([(5,)], "id int"))  # the handle stands at the latest version again
     assert got(late.scan().to_df()) == [(1,), (2,), (3,), (5,)]
     late.set_properties({"commit.retry.num-retries": "2", "commit.retry.min-wait-ms": "1"})
@@ -470,6 +473,10 @@ def test_rows_keep_their_ids(spark, tmp_path):
     assert ids() == {k: v for k, v in before.items() if k != 3}
     t.append(spark.createDataFrame([(20,)], "id int"))
     assert ids()[20][0] not in {v[0] for v in before.values()}
+    old = ids()[20][0]
+    t.row_delta(rows=spark.createDataFrame([(21, old), (22, None)], "id int, _row_id long"), keys=spark.createDataFrame([(20,)], "id int"))
+    now = ids()
+    assert 20 not in now and now[21][0] == old and now[22][0] not in {v[0] for k, v in now.items() if k != 22}
     with pytest.raises(ValueError):
         t.set_properties({"format-version": "2"})
 
@@ -587,3 +594,69 @@ def test_statistics_files(spark, tmp_path):
     assert [b["type"] for b in blobs.read_blobs(t.files.read_bytes(path))] == ["theta-sketch", "theta-sketch"]
     maintenance.remove_statistics(t, t.head()["id"])
     assert t.meta["statistics"] == []
+
+
+def test_reports_and_tasks_as_bytes(spark, tmp_path):
+    from tabulon.sources.reports import commit_report, decode_tasks, encode_tasks, reported, scan_report
+
+    t = table(spark, tmp_path / "t", "id int, s string", [(n, "secret") for n in range(10)])
+    t.append(spark.createDataFrame([(n, "b") for n in range(100, 105)], "id int, s string").coalesce(1))
+    t.delete(compare("id", "=", 101), mode="merge-on-read")
+    s = t.scan().filter(all_of(compare("id", ">", 50), not_in("s", ["secret", "x"])))
+    r = scan_report(s)
+    assert r["metrics"]["result-data-files"] == 1 and r["metrics"]["skipped-data-files"] == 1 and r["metrics"]["files-with-deletes"] == 1 and "secret" not in r["filter"]
+    assert commit_report(t)["operation"] == "delete" and commit_report(t)["metrics"]["added-position-deletes"] == 1
+    seen = []
+    assert reported(s, seen.append).count() == 4 and len(seen) == 1
+    scan, tasks = decode_tasks(spark, encode_tasks(s, s.plan_files()))
+    assert got(scan.read(tasks)) == got(s.to_df()) and scan.read(tasks).count() == 4
+
+
+def test_boxes_of_shapes(spark):
+    import struct
+
+    from tabulon.functions import geo
+
+    point = lambda x, y, o="<": struct.pack(o + "BIdd", int(o == "<"), 1, x, y)
+    line = struct.pack("<BII4d", 1, 2, 2, 0, 1, 5, -3)
+    tall = struct.pack("<BII6d", 1, 1002, 2, 0, 1, 99, 5, -3, 99)
+    area = struct.pack("<BIII6d", 1, 3, 1, 3, 0, 0, 4, 0, 0, 4)
+    several = struct.pack("<BII", 1, 7, 2) + point(9, 9, ">") + area
+    for raw, want in ((point(1, 2), (1, 2, 1, 2)), (point(1, 2, ">"), (1, 2, 1, 2)), (line, (0, -3, 5, 1)), (tall, (0, -3, 5, 1)), (area, (0, 0, 4, 4)), (several, (0, 0, 9, 9)), (None, None), (b"", None), (b"\1\2", None), (point(float("nan"), float("nan")), None), (struct.pack("<BII", 1, 4, 0), None)):
+        assert geo.box_of(raw) == want
+    df = spark.createDataFrame([("a", bytearray(line)), ("a", bytearray(point(7, 7))), ("b", None)], "k string, g binary")
+    assert got(geo.bounds(df, "g", "k")) == sorted([("a", 0.0, -3.0, 7.0, 7.0), ("b", None, None, None, None)], key=str)
+
+
+def test_documents_are_sealed(spark):
+    from tabulon.sources.encryption import Envelope, MemoryKeyService, Plaintext
+
+    service = MemoryKeyService(spark, {"k": b"0" * 16})
+    e = Envelope(spark, service, "k")
+    raw = e.encrypt(b"hello", b"about")
+    assert b"hello" not in raw and e.decrypt(raw, b"about") == b"hello" and Plaintext().decrypt(b"x") == b"x"
+    for bad, about in ((raw, b"other"), (raw[:-1] + bytes([raw[-1] ^ 1]), b"about"), (b"", b"")):
+        with pytest.raises(ValueError):
+            e.decrypt(bad, about)
+    with pytest.raises(ValueError):
+        Envelope(spark, service, "none").encrypt(b"x")
+
+
+def test_one_row_at_a_time():
+    nan = float("nan")
+    row = {"a": None, "b": 3, "f": nan, "s": "abc"}
+    for e, want in ((compare("a", "<", 1), True), (compare("a", "=", 1), False), (compare("a", "!=", 1), True), (compare("f", ">", 1e300), True), (compare("f", "=", nan), True), (is_in("a", [1, 2]), False), (not_in("a", [1, 2]), True), (starts_with("s", "ab"), True), (starts_with("a", "ab"), False), (unary("f", "is_nan"), True), (all_of(compare("b", ">=", 3), unary("a", "is_null")), True), (~compare("b", ">=", 3), False)):
+        assert e.holds(row) is want, e
+    n = iter(range(1, 9))
+    s = schemas.with_ids(StructType.fromDDL("a int, s struct<x: int>, b int"), lambda: next(n))
+    assert any_of(compare("s.x", "=", 1), compare("b", "<", 2)).field_ids(s) == {3, 4}
+    assert [(i, x is not None, y is not None) for i, x, y in schemas.paired(s, schemas.Update(s, 8).drop("a").add("c", s["a"].dataType).schema)] == [(1, True, False), (2, True, True), (3, True, True), (4, True, True), (9, False, True)]
+
+
+def test_splits_planners_and_partition_summaries(spark, tmp_path):
+    t = table(spark, tmp_path / "t", "id int, p string", [(n, "ab"[n % 2]) for n in range(2000)], partition=["p", ("id", "truncate[1000]")], properties={"write.summary.partition-limit": "5", "read.split.target-size": "1"})
+    s = t.head()["summary"]
+    assert s["changed-partition-count"] == "4" and s["partitions.id_truncate_1000=1000/p=b"] == "added-data-files=1,added-records=500,deleted-data-files=0,deleted-records=0"
+    splits = t.scan().plan_splits()
+    assert splits.count() == 4 and splits.where("start < 4 or length <= 0").count() == 0
+    assert t.scan().planned_by(lambda scan: scan.planned_by(None).plan_files().where("partition['p'] = 'a'")).to_df().count() == 1000
