@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import grown, no_null
+from .common import Scratch, grown, no_null, sheltered
 
 #: Notices by SPDX id, compared with lines and with runs of words.
 NOTICES = (
@@ -217,7 +217,7 @@ class Matcher:
         return [*dict.fromkeys(m[2] for m in kept)], max((m[3] for m in kept), default=0.0), bool(kept) and inside >= FILE_SHARE * words
 
 
-def scan(docs: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
+def scan(docs: DataFrame, path: str = "path", text: str = "text", with_text: bool = True) -> DataFrame:
     """docs (files) with found (licenses in the text), similarity, is_license_file, license and inherited_from.
 
     license is the file's own licenses joined by AND, else those of the nearest
@@ -225,9 +225,17 @@ def scan(docs: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
     license text or, having a license, is named like one. Several licence files
     of one directory are joined by AND. inherited_from is that directory; null
     where nothing is inherited. Null or empty texts have no license; null paths
-    neither give nor inherit. Columns with these names are replaced.
+    neither give nor inherit; repeated rows fare alike, an empty table stays
+    empty. Columns with these names are replaced, others may have any names.
+    Without with_text the texts go, and what was found in them is written once;
+    else they are searched once more for the rows of the result.
     """
-    kept = docs.drop("found", "similarity", "is_license_file", "license", "inherited_from")
+    kept = docs.drop("found", "similarity", "is_license_file", "license", "inherited_from").withColumnsRenamed({path: "path", text: "text"} if (path, text) != ("path", "text") else {})
+    out = sheltered(kept, ("path", "text"), lambda d: _scanned(d, "path", "text", with_text))
+    return out if (path, text) == ("path", "text") else out.withColumnsRenamed({"path": path, "text": text})
+
+
+def _scanned(kept: DataFrame, path: str, text: str, with_text: bool) -> DataFrame:
     matcher = Matcher(line_counts(kept, text))
     at = kept.columns.index(text)
 
@@ -239,11 +247,13 @@ def scan(docs: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
 
     out = kept.mapInArrow(match, grown(kept.schema, "found array<string>, similarity double, is_license_file boolean"))
     name, directory = F.regexp_extract(path, r"([^/]*)$", 1), F.regexp_replace(F.regexp_replace(F.col(path), r"[^/]*$", ""), r"/+$", "")
+    if not with_text:
+        out = Scratch(kept.sparkSession, "licenses").keep(out.drop(text))
     out = out.withColumn("is_license_file", F.col("is_license_file") | (no_null(name).rlike(_FILE) & (F.size("found") > 0))).withColumn("_dir", directory)
     given = out.where("is_license_file and _dir is not null").select("_dir", F.explode("found").alias("l")).groupBy(F.col("_dir").alias("_from")).agg(F.array_join(F.array_sort(F.collect_set("l")), " AND ").alias("_given"))
     # Directories, not files, are joined with their ancestors: a directory of any number of files is one row.
     parts = F.split("_dir", "/")
-    dirs = kept.select(directory.alias("_dir")).where("_dir is not null").select("_dir").distinct().withColumn("_depth", F.explode(F.sequence(F.lit(0), F.size(parts))))
+    dirs = (kept if with_text else out).select(directory.alias("_dir")).where("_dir is not null").select("_dir").distinct().withColumn("_depth", F.explode(F.sequence(F.lit(0), F.size(parts))))
     dirs = dirs.withColumn("_up", F.array_join(F.slice(parts, 1, F.col("_depth")), "/")).dropDuplicates(["_dir", "_up"])
     nearest = dirs.join(given, F.col("_up") == F.col("_from")).groupBy("_dir").agg(F.max(F.struct("_depth", "_from", "_given")).alias("_n"))
     out = out.join(nearest.withColumnRenamed("_dir", "_d"), F.col("_dir") == F.col("_d"), "left")
@@ -254,5 +264,5 @@ def scan(docs: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
 def op6(docs: DataFrame) -> DataFrame:
     """Documents as files source/lang/doc_id."""
     path = F.concat_ws("/", no_null(F.col("source")), no_null(F.col("lang")), F.col("doc_id").cast("string"))
-    out = scan(docs.select("doc_id", "text", path.alias("path")))
+    out = scan(docs.select("doc_id", "text", path.alias("path")), with_text=False)
     return out.select("doc_id", "path", F.array_join("found", ",").alias("found"), "similarity", "is_license_file", "license", "inherited_from")
