@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import grown
+from .common import Scratch, grown, sheltered
 from .urlfilter import host_of
 
 #: Script, style and textarea hold no tags up to their end tag or the page's end. The other named elements are skipped only where they are closed before the next of their name.
@@ -62,7 +62,7 @@ class Node:
         if tag == "article" and words & {"comment", "comments", "reply", "ad", "advert", "sponsored", "related"}:
             self.noise = True
         self.named = bool(words & _CONTENT)
-        self.step = ".".join([tag, *sorted({_DIGITS.sub("#", c).lower() for c in classes})])
+        self.step = ".".join([tag, *sorted({_DIGITS.sub("#", c).lower().replace("/", "|") for c in classes})])
 
     def path(self) -> str:
         steps, node = [], self
@@ -247,15 +247,20 @@ def extract(text: str | None, winners: Sequence[str] | str | None) -> str:
     root = parse(text)
     found: dict[str, list[Node]] = {w: [] for w in ([winners] if isinstance(winners, str) else winners or ())}
     top, _ = best_container(root)
-    deepest = max((w.count("/") for w in found), default=-1)
-    stack: list[tuple[Node, str, int]] = [(root, "", -1)]
+    ways: dict = {}  # the paths by their steps, so that only what leads to one of them is walked
+    for w in found:
+        at = ways
+        for step in w.split("/") if w else ():
+            at = at.setdefault(step, {})
+        at[""] = w
+    stack: list[tuple[Node, dict]] = [(root, ways)]
     while stack:
-        node, path, depth = stack.pop()
-        if node.noise or depth > deepest:
+        node, at = stack.pop()
+        if node.noise:
             continue
-        if path in found:
-            found[path].append(node)
-        stack += [(c, f"{path}/{c.step}" if path else c.step, depth + 1) for c in reversed(node.children) if not isinstance(c, str)]
+        if "" in at:
+            found[at[""]].append(node)
+        stack += [(c, at[c.step]) for c in reversed(node.children) if not isinstance(c, str) and c.step in at]
     path = max(found, key=lambda p: _held(found[p]), default=None)  # the first of equal ones
     blocks = []
     if path is not None and _held(found[path]) >= HOLDS * (_held([top]) if top is not None else 0):
@@ -295,12 +300,22 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     """pages with text (empty if none) and n_chars, its code points.
 
     A host's paths are those that winning() keeps. Pages without a host vote
-    together. Null and empty html give an empty text; repeated pages stay;
-    columns of pages named text or n_chars are replaced.
+    together. Null and empty html give an empty text; repeated pages stay,
+    an empty table stays empty; columns of pages named text or n_chars are
+    replaced, others may have any names.
     """
-    kept = pages.drop("text", "n_chars")
-    best = winning(votes(pages))
-    joined = kept.withColumn("_h", host_of(F.col("url"))).join(best, F.col("_h") == F.col("_host"), "left").select(*kept.columns, "_paths")
+    return sheltered(pages.drop("text", "n_chars"), ("url", "html"), _extracted)
+
+
+#: Most bytes of winning paths that go to every task; beyond, pages meet their host's paths in a shuffle.
+_BROADCAST_MOST = 32 << 20
+
+
+def _extracted(kept: DataFrame) -> DataFrame:
+    disk = Scratch(kept.sparkSession, "html")
+    best = disk.keep(winning(votes(kept)))
+    size = best.agg(F.sum(F.length("_host") + F.aggregate(F.transform("_paths", F.length), F.lit(0), lambda a, b: a + b))).first()[0] or 0
+    joined = kept.withColumn("_h", host_of(F.col("url"))).join(F.broadcast(best) if size <= _BROADCAST_MOST else best, F.col("_h") == F.col("_host"), "left").select(*kept.columns, "_paths")
     at, path_at = kept.columns.index("html"), len(kept.columns)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,4 +327,5 @@ def extract_pages(pages: DataFrame) -> DataFrame:
 
 
 def op8(pages: DataFrame) -> DataFrame:
+    """Every page with its main text; null html gives an empty one."""
     return extract_pages(pages.select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
