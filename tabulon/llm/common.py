@@ -85,13 +85,17 @@ def fresh(names: Iterable[str], *wanted: str) -> list[str]:
     return out
 
 
+def named(names: Iterable[str]) -> list[Column]:
+    """Columns of these names, dots and all."""
+    return [F.col("`" + n.replace("`", "``") + "`") for n in names]
+
+
 def sheltered(df: DataFrame, needed: Sequence[str], f: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """f(df), for an f that knows only the columns named in needed: all others travel in one struct, where no internal name can clash with theirs. The result has df's columns, then those that f adds."""
     extra = [c for c in df.columns if c not in needed]
     if not extra:
         return f(df)
-    named = lambda c: F.col("`" + c.replace("`", "``") + "`")
-    out = f(df.select(*[c for c in df.columns if c in needed], F.struct(*[named(c).alias(c) for c in extra]).alias("_sheltered")))
+    out = f(df.select(*[c for c in df.columns if c in needed], F.struct(*[c.alias(n) for c, n in zip(named(extra), extra, strict=True)]).alias("_sheltered")))
     return out.select(*[F.col(c) if c in needed else F.col("_sheltered").getField(c).alias(c) for c in df.columns if c not in needed or c in out.columns], *[c for c in out.columns if c not in needed and c != "_sheltered"])
 
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, among, cut, fresh, mix64, shingle_hashes
+from .common import WordHash, among, cut, fresh, mix64, named, sheltered, shingle_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -160,9 +160,12 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", leaks: str
     cluster. A column of docs with that name is replaced, others may have any
     names.
     """
+    return sheltered(docs.drop(leaks), (text,), lambda d: _with_leaks(d, items, text, leaks))
+
+
+def _with_leaks(out: DataFrame, items: DataFrame, text: str, leaks: str) -> DataFrame:
     asked = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text")).distinct()
     known = asked.limit(MAX_ITEMS + 1).collect()
-    out = docs.drop(leaks)
     names = out.columns
     at = names.index(text)
     out = out.withColumn(leaks, F.expr(f"cast(array() as {_LEAK_SQL})"))
@@ -235,7 +238,7 @@ def _by_candidates(docs: DataFrame, items: DataFrame, at: int, leaks: str) -> Da
 def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """docs without those that hold a benchmark item, in the same columns, whatever their names; null and empty texts stay."""
     (leaks,) = fresh(docs.columns, "_leaks")
-    return find_leaks(docs, items, leaks=leaks).where(F.size(leaks) == 0).select(*docs.columns)
+    return find_leaks(docs, items, leaks=leaks).where(F.size(leaks) == 0).select(*named(docs.columns))
 
 
 def op3(docs: DataFrame, items: DataFrame) -> DataFrame:

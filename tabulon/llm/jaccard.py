@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, among, cut, distinct, fresh, grown, in_bitmap, mix64, shingle_hashes, word_hashes
+from .common import Scratch, among, cut, distinct, fresh, grown, in_bitmap, mix64, named, sheltered, shingle_hashes, word_hashes
 
 SHINGLE = 4
 PERCENT = 85
@@ -392,7 +392,7 @@ def _distinct_rows(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     held = nodes.join(over, F.col("_node") == F.col("_over"), "left_anti").select(F.col("_key").alias(a)).distinct()
     out = keyed.where(F.col(same).isNull())
     out = out.unionByName(keyed.where(F.col("doc_id").isNotNull() & F.col(same).isNotNull()).join(best, (F.col("doc_id") == F.col(a)) & (F.col("text") == F.col(b)), "left_semi"))
-    return out.unionByName(keyed.where(F.col("doc_id").isNull() & F.col(same).isNotNull()).join(held, F.col(same) == F.col(a), "left_anti")).select(*docs.columns)
+    return out.unionByName(keyed.where(F.col("doc_id").isNull() & F.col(same).isNotNull()).join(held, F.col(same) == F.col(a), "left_anti")).select(*named(docs.columns))
 
 
 def distinct_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -404,6 +404,10 @@ def distinct_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) ->
     text, other than one left out for a text of its id that sorts first. Other
     columns may have any names; an empty table stays empty.
     """
+    return sheltered(docs, ("doc_id", "text"), lambda d: _distinct(d, shingle, percent))
+
+
+def _distinct(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     if not docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("doc_id is null or n > 1").isEmpty():
         return _distinct_rows(docs, shingle, percent)
     found = jaccard_join(docs, shingle, percent)
@@ -411,7 +415,7 @@ def distinct_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) ->
     maybe, id_ = fresh(docs.columns, "_maybe", "_id")
     marked = in_bitmap(docs, "doc_id", gone, gone.count(), maybe)
     checked = marked.where(F.col(maybe)).join(gone.select(F.col("id").alias(id_)), F.col("doc_id") == F.col(id_), "left_anti")
-    return marked.where(~F.col(maybe)).unionByName(checked).select(*docs.columns)
+    return marked.where(~F.col(maybe)).unionByName(checked).select(*named(docs.columns))
 
 
 def op9(docs: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold_of, grown
+from .common import fold_of, grown, sheltered
 
 DIMENSIONS = 4096
 CENTROIDS = 3
@@ -148,7 +148,10 @@ def add_language(docs: DataFrame, model: Model, text: str = "text") -> DataFrame
     Texts that are null or have no letter get und, 0 and true. Columns of docs
     with these names are replaced.
     """
-    kept = docs.drop("lang_pred", "score", "rejected")
+    return sheltered(docs.drop("lang_pred", "score", "rejected"), (text,), lambda d: _predicted(d, model, text))
+
+
+def _predicted(kept: DataFrame, model: Model, text: str) -> DataFrame:
     at = kept.columns.index(text)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,5 +164,6 @@ def add_language(docs: DataFrame, model: Model, text: str = "text") -> DataFrame
 
 
 def op7(docs: DataFrame) -> DataFrame:
+    """Every row with its predicted language: und for null texts and those without letters, null ids not held out; repeated rows alike, an empty table none."""
     out = add_language(docs.select("doc_id", "text"), learn(docs))
     return out.select("doc_id", (fold_of(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")

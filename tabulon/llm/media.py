@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import grown
+from .common import grown, sheltered
 
 WIDTH = 64
 ROW = 3 * WIDTH
@@ -158,7 +158,10 @@ def add_media(docs: DataFrame, text: str = "text", media: str = "media", n_bytes
     row in, one row out, whatever repeats; existing columns of these names
     are replaced.
     """
-    kept = docs.drop(media, n_bytes)
+    return sheltered(docs.drop(media, n_bytes), (text,), lambda d: _stored(d, text, media, n_bytes))
+
+
+def _stored(kept: DataFrame, text: str, media: str, n_bytes: str) -> DataFrame:
     at = kept.columns.index(text)
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,4 +200,5 @@ def add_features(stored: DataFrame, media: str = "media", n_bytes: str = "n_byte
 
 
 def op2(docs: DataFrame) -> DataFrame:
+    """Every row with the digest of its text's image, read back; null texts as empty ones, repeated rows alike, an empty table none."""
     return add_features(add_media(docs.select("doc_id", "text")))

@@ -111,7 +111,7 @@ def _sharded(docs: DataFrame, shards: int, ranges_per_shard: int) -> DataFrame:
     dealt = F.broadcast(spark.createDataFrame(deal(cells, shards), "_cell long, _sub long, shard int, _first long"))
     out = _ranged(keyed, bounds).join(parts, "_cell", "left").withColumn("_sub", _sub(F.coalesce("_parts", F.lit(1)))).join(dealt, ["_cell", "_sub"])
     row = F.row_number().over(Window.partitionBy("_cell", "_sub").orderBy("_h1", "_h2", "doc_id", "_size"))
-    return out.withColumn("slot", F.col("_first") + row - 1).withColumn("size", F.col("_size")).drop("_cell", "_sub", "_first", "_parts", "_h1", "_h2", "_size")
+    return out.withColumn("slot", F.col("_first") + row - 1).withColumn("size", F.col("_size")).select(*docs.columns, "size", "shard", "slot")
 
 
 def op10(docs: DataFrame) -> DataFrame:

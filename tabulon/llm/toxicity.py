@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fold_of, fresh, grown, mix64, shingle_hashes, word_hashes
+from .common import cut, fold_of, fresh, grown, mix64, named, sheltered, shingle_hashes, word_hashes
 
 #: Letters of other scripts that look like Latin ones, and symbols that stand for letters.
 HOMOGLYPHS = "аaеeоoрpсcхxуyіiјjѕsԁdһhвbмmтtкkнhαaοoνvρpιiτtυuκkɑaɡgıiℓl"
@@ -275,7 +275,10 @@ def learn(docs: DataFrame, labels: DataFrame, max_rows: int = TRAIN_ROWS) -> Lex
 
 def add_score(docs: DataFrame, lex: Lexicon, text: str = "text", score: str = "score") -> DataFrame:
     """docs with the score (0 to 1) of every whole text; null counts as empty. An existing column of that name is replaced."""
-    kept = docs.drop(score)
+    return sheltered(docs.drop(score), (text,), lambda d: _scored(d, lex, text, score))
+
+
+def _scored(kept: DataFrame, lex: Lexicon, text: str, score: str) -> DataFrame:
     at = kept.columns.index(text)
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,7 +295,7 @@ def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     empty table stays empty; labels may be empty or hold nulls.
     """
     (score,) = fresh(docs.columns, "_score")
-    return add_score(docs, learn(docs, labels), score=score).where(F.col(score) < 0.5).select(*docs.columns)
+    return add_score(docs, learn(docs, labels), score=score).where(F.col(score) < 0.5).select(*named(docs.columns))
 
 
 def op5(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, no_null, sheltered
+from .common import Scratch, named, no_null, sheltered
 
 #: (host, path, verdict) of the production rules.
 RULES = (
@@ -130,7 +130,7 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES)
     others may have any names.
     """
     own = [c for c in pages.columns if c not in ("host", "path", "rule", "trust", "distrust", "verdict")]
-    return sheltered(pages.select(*["`" + c.replace("`", "``") + "`" for c in own]), ("url", "html"), lambda p: _filtered(p, rules))
+    return sheltered(pages.select(*named(own)), ("url", "html"), lambda p: _filtered(p, rules))
 
 
 def _filtered(pages: DataFrame, rules: Sequence[tuple[str, str, str]]) -> DataFrame:
