@@ -6,7 +6,7 @@ import math
 import string
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import Scratch, named, no_null, sheltered
@@ -23,7 +23,9 @@ DAMPING = 0.85
 #: Bound on the mass of all hosts together that the rounds left out could still add; far below THRESHOLD.
 TOLERANCE = 1e-6
 #: Rounds between two writes of the ranks.
-_WRITE = 8
+_WRITE = 4
+#: Rows of ranks that a written file has about.
+_RANKS_PER_FILE = 100_000
 THRESHOLD = 0.05
 
 
@@ -82,7 +84,8 @@ def propagate(seeds: DataFrame, edges: DataFrame, tolerance: float = TOLERANCE,
     """
     disk = Scratch(seeds.sparkSession, "ranks")
     base = disk.keep(seeds.select("kind", "host", (F.col("seed") * F.lit(1 - damping)).alias("mass")).where("mass > 0"))
-    total = base.agg(F.sum("mass")).first()[0] or 0.0
+    total, hosts = base.agg(F.sum("mass"), F.count("*")).first()
+    total = total or 0.0
     left = total * damping / (1 - damping)
     rank, kept = base, damping**_WRITE
     links = edges.select(F.col("kind").alias("_kind"), "src", "dst", "share")
@@ -91,10 +94,11 @@ def propagate(seeds: DataFrame, edges: DataFrame, tolerance: float = TOLERANCE,
         for _ in range(_WRITE):
             moved = links.join(rank, (F.col("_kind") == F.col("kind")) & (F.col("src") == F.col("host"))).select("kind", F.col("dst").alias("host"), (F.col("mass") * F.col("share") * F.lit(damping)).alias("mass"))
             rank = base.unionByName(moved).groupBy("kind", "host").agg(F.sum("mass").alias("mass"))
-        rank = disk.keep(rank)
+        seen = Observation()
+        rank = disk.keep(rank.observe(seen, F.sum("mass").alias("total"), F.count("*").alias("hosts")).coalesce(1 + hosts // _RANKS_PER_FILE))
         if before is not base:
             disk.drop(before)
-        was, total = total, rank.agg(F.sum("mass")).first()[0] or 0.0
+        was, total, hosts = total, seen.get["total"] or 0.0, seen.get["hosts"]
         left = min(left * kept, max(0.0, total - was) * kept / (1 - kept))
     return rank
 
