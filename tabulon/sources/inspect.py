@@ -23,8 +23,8 @@ def _at(ms: int) -> dt.datetime:
 
 
 def _snapshots(t: Table) -> DataFrame:
-    rows = [(_at(s["ms"]), s["id"], s["parent"], s["operation"], s["schema"], {k: str(v) for k, v in s["summary"].items()}) for s in t.meta["snapshots"]]
-    return t.spark.createDataFrame(rows, f"committed_at {_TIME}, snapshot_id long, parent_id long, operation string, schema_id int, summary map<string,string>")
+    rows = [(_at(s["ms"]), s["id"], s["parent"], s["operation"], s["schema"], s.get("manifest_list"), {k: str(v) for k, v in s["summary"].items()}) for s in t.meta["snapshots"]]
+    return t.spark.createDataFrame(rows, f"committed_at {_TIME}, snapshot_id long, parent_id long, operation string, schema_id int, manifest_list string, summary map<string,string>")
 
 
 def _history(t: Table) -> DataFrame:
@@ -49,7 +49,7 @@ def _log(t: Table) -> DataFrame:
 def _manifests(t: Table, snapshots: list[dict], tag: bool) -> DataFrame:
     rows = []
     for s in snapshots:
-        for m in manifests_of(t.meta, s):
+        for m in manifests_of(t, s):
             sums = [(n, v["nulls"] > 0, v["nan"] > 0, v["lower"], v["upper"]) for n, v in sorted(m["summaries"].items())]
             rows.append((0 if m["content"] == "data" else 1, m["path"], m["specs"], m["snapshot"], m["sequence"], *m["files"], *m["rows"], sums, s["id"]))
     kind = "content int, path string, partition_spec_ids array<int>, added_snapshot_id long, sequence_number long, existing_files_count long, added_files_count long, deleted_files_count long, existing_rows_count long, added_rows_count long, deleted_rows_count long,"
@@ -60,7 +60,7 @@ def _manifests(t: Table, snapshots: list[dict], tag: bool) -> DataFrame:
 
 def _every(t: Table) -> list[dict]:
     """All manifests that any snapshot lists, once each."""
-    return [*{m["path"]: m for s in t.meta["snapshots"] for m in s["manifests"]}.values()]
+    return [*{m["path"]: m for s in t.meta["snapshots"] for m in manifests_of(t, s)}.values()]
 
 
 _FILE = ("content", "file_path", "file_format", "spec_id", "partition", "record_count", "file_size", "column_sizes", "value_counts", "null_counts", "nan_counts", "lower", "upper", "split_offsets", "equality_ids", "sort_order_id", "first_row_id", "referenced_file")
@@ -119,7 +119,7 @@ def _position_deletes(t: Table) -> DataFrame:
 def inspect(t: Table, what: str) -> DataFrame:
     """snapshots, history, refs, metadata_log_entries, manifests, entries, files, data_files, delete_files, partitions, position_deletes, and all_ forms of manifests, entries and files, over every snapshot that is kept."""
     head = t.head()
-    here = manifests_of(t.meta, head)
+    here = manifests_of(t, head)
     made = {
         "snapshots": lambda: _snapshots(t), "history": lambda: _history(t), "refs": lambda: _refs(t), "metadata_log_entries": lambda: _log(t), "partitions": lambda: _partitions(t), "position_deletes": lambda: _position_deletes(t),
         "manifests": lambda: _manifests(t, [head] if head else [], False), "all_manifests": lambda: _manifests(t, t.meta["snapshots"], True), "entries": lambda: _entries(t, here), "all_entries": lambda: _entries(t, _every(t)),

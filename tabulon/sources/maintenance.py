@@ -118,7 +118,7 @@ def rewrite_manifests(t: Table, target: int = 100_000, where: Callable[[dict], b
         if head is None:
             return
         for content in ("data", "deletes"):
-            old = [m for m in manifests_of(v.meta, head) if m["content"] == content and (where is None or where(m))]
+            old = [m for m in manifests_of(v, head) if m["content"] == content and (where is None or where(m))]
             if len(old) < 2 and not by:
                 continue
             count = sum(m["files"][0] + m["files"][1] for m in old)
@@ -148,7 +148,7 @@ def _replace_head(v: Table, branch: str, old: list[dict], made: list[dict]) -> N
     head = v.head(branch)
     sid, seq = uuid.uuid4().int >> 66, v.meta["sequence"] + 1
     gone = {m["path"] for m in old}
-    snap = head | {"id": sid, "parent": head["id"], "ms": max(int(time.time() * 1000), v.meta["updated"]), "sequence": seq, "operation": "replace", "manifests": [m for m in head["manifests"] if m["path"] not in gone] + [m | {"snapshot": sid, "sequence": seq} for m in made]}
+    snap = {k: x for k, x in head.items() if k != "manifest_list"} | {"id": sid, "parent": head["id"], "ms": max(int(time.time() * 1000), v.meta["updated"]), "sequence": seq, "operation": "replace", "manifests": [m for m in manifests_of(v, head) if m["path"] not in gone] + [m | {"snapshot": sid, "sequence": seq} for m in made]}
     totals = {k: x for k, x in head["summary"].items() if k.startswith("total-")}
     snap["summary"] = totals | {"manifests-created": len(made), "manifests-replaced": len(old), "entries-processed": sum(m["files"][0] for m in made)}
     v.meta["snapshots"] = [*v.meta["snapshots"], snap]
@@ -203,14 +203,13 @@ def expire(t: Table, older_than_ms: int | None = None, keep_last: int | None = N
     tx.update(step)
     tx.commit()
     if clean and dropped and t.property("gc.enabled") == "true":
-        lost = {m["path"]: m for s in dropped for m in s["manifests"]}
-        kept = {m["path"]: m for s in t.meta["snapshots"] for m in s["manifests"]}
+        lost = {m["path"]: m for s in dropped for m in manifests_of(t, s)}
+        kept = {m["path"]: m for s in t.meta["snapshots"] for m in manifests_of(t, s)}
         gone = t.entries([m for p, m in lost.items() if p not in kept]).select("file_path").distinct()
         alive = t.entries([*kept.values()]).where("status <> 2").select(F.col("file_path").alias("_f")).distinct()
         _delete(t, gone.join(alive, F.col("file_path") == F.col("_f"), "left_anti"))
-        for p in lost:
-            if p not in kept:
-                t.files.fs.delete(t.files.path(p), True)
+        for p in [*(p for p in lost if p not in kept), *(s["manifest_list"] for s in dropped)]:
+            t.files.fs.delete(t.files.path(p), True)
     return len(dropped)
 
 
@@ -225,16 +224,17 @@ def _delete(t: Table, paths: DataFrame) -> int:
 def orphans(t: Table, older_than_ms: int | None = None, dry_run: bool = True) -> DataFrame:
     """Files below the table that nothing refers to and that are older than a time (three days by default): an anti join of Spark's listing with all manifests. dry_run: they are only listed."""
     cut = older_than_ms if older_than_ms is not None else int(time.time() * 1000) - 3 * 24 * 3600 * 1000
-    every = [*{m["path"]: m for s in t.meta["snapshots"] for m in s["manifests"]}.values()]
+    every = [*{m["path"]: m for s in t.meta["snapshots"] for m in manifests_of(t, s)}.values()]
     used = t.entries(every).select(F.col("file_path").alias("_f")).distinct()
     own = t.spark.createDataFrame([(m["path"].rpartition("/")[2],) for m in every], "_m string")
     found = listed(t.spark, t.files.root_uri).where(F.unix_millis("modified") < cut)
     found = found.where(~F.col("file_path").rlike(r"/metadata/v\d+\.json$"))
     found = found.join(used, F.col("file_path") == F.col("_f"), "left_anti")
     found = found.withColumn("_n", F.regexp_extract("file_path", r"/(m-[0-9a-f]{32})/", 1)).join(F.broadcast(own), F.col("_n") == F.col("_m"), "left_anti").drop("_n")
-    stats = [s["path"] for s in [*t.meta["statistics"], *t.meta["partition_statistics"]]]
-    if stats:
-        found = found.where(~F.col("file_path").isin(stats))
+    named = [s["path"] for s in [*t.meta["statistics"], *t.meta["partition_statistics"]]] + [f"{t.files.root_uri}/{s['manifest_list']}" for s in t.meta["snapshots"]]
+    if named:
+        known = t.spark.createDataFrame([(p,) for p in named], "_o string")
+        found = found.join(F.broadcast(known), F.col("file_path") == F.col("_o"), "left_anti")
     if not dry_run:
         if t.property("gc.enabled") != "true":
             raise ValueError("gc.enabled is false: files may belong to other tables")
@@ -249,7 +249,7 @@ def purge(t: Table) -> None:
     """The table and all its files go."""
     if t.property("gc.enabled") != "true":
         raise ValueError("gc.enabled is false: files may belong to other tables")
-    every = [*{m["path"]: m for s in t.meta["snapshots"] for m in s["manifests"]}.values()]
+    every = [*{m["path"]: m for s in t.meta["snapshots"] for m in manifests_of(t, s)}.values()]
     outside = t.entries(every).where(~F.col("file_path").startswith(t.files.root_uri)).select("file_path").distinct()
     _delete(t, outside)
     t.files.fs.delete(t.files.path(""), True)

@@ -22,7 +22,7 @@ def scan_report(scan: Scan) -> dict[str, Any]:
     t, began = scan.table, time.time()
     snapshot, version = scan._chosen()
     bound = scan.where.bind(t.schema(version), scan.case_sensitive)
-    every = [m for m in manifests_of(t.meta, snapshot) if m["files"][0] + m["files"][1]]
+    every = [m for m in manifests_of(t, snapshot) if m["files"][0] + m["files"][1]]
     tasks = scan.plan_files()
     r = tasks.agg(F.count("*").alias("n"), F.sum("file_size").alias("size"), F.sum("record_count").alias("rows"), F.count_if("has_deletes").alias("touched"), F.count_distinct("manifest").alias("manifests")).first()
     of = lambda content: [m for m in every if m["content"] == content]

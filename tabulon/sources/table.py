@@ -46,8 +46,15 @@ _FILE, _POS, _SEQ, _SPEC = "_tabulon_file", "_tabulon_pos", "_tabulon_seq", "_ta
 _LINEAGE = {"_row_id": "bigint", "_last_updated_sequence_number": "bigint"}
 
 
-def manifests_of(meta: dict, snapshot: dict | None) -> list[dict]:
-    return snapshot["manifests"] if snapshot else []
+def manifests_of(t: Table, snapshot: dict | None) -> list[dict]:
+    """What a snapshot says of its manifests: in a list of its own, read when it is first asked for."""
+    if snapshot is None:
+        return []
+    if "manifests" in snapshot:  # staged
+        return snapshot["manifests"]
+    if snapshot["id"] not in t.lists:
+        t.lists[snapshot["id"]] = json.loads(t.files.read(snapshot["manifest_list"]))
+    return t.lists[snapshot["id"]]
 
 
 @dataclass
@@ -72,6 +79,7 @@ class Table:
         self.meta: dict = {}
         self.staged: list[str] = []  # folders of this handle's commit: what only the commit needs, and its new files
         self.folders: list[str] = []
+        self.lists: dict[int, list[dict]] = {}
 
     # Documents
 
@@ -117,6 +125,15 @@ class Table:
         """Claims the version after the one that meta says."""
         before = meta["version"]
         meta = meta | {"version": before + 1, "updated": max(_now(), meta["updated"])}
+        snaps = []
+        for s in meta["snapshots"]:
+            if "manifests" in s:
+                name = f"metadata/snap-{s['id']}.json"
+                self.files.write(name, json.dumps(s["manifests"]))
+                self.lists[s["id"]] = s["manifests"]
+                s = {k: v for k, v in s.items() if k != "manifests"} | {"manifest_list": name}
+            snaps.append(s)
+        meta["snapshots"] = snaps
         head = meta["refs"].get("main", {}).get("snapshot")
         log = [*meta["metadata_log"], {"ms": self.meta["updated"], "file": f"metadata/v{before}.json", "snapshot": head, "schema": meta["current_schema"], "sequence": meta["sequence"]}]
         most = int(self.property("write.metadata.previous-versions-max"))
@@ -402,7 +419,7 @@ class Table:
         return df.drop("_m", "_snap", "_seq")
 
     def live(self, snapshot: dict | None, content: str | None = None) -> DataFrame:
-        chosen = [m for m in manifests_of(self.meta, snapshot) if content in (None, m["content"]) and m["files"][0] + m["files"][1]]
+        chosen = [m for m in manifests_of(self, snapshot) if content in (None, m["content"]) and m["files"][0] + m["files"][1]]
         return self.entries(chosen).where("status <> 2")
 
     def partition_filter(self, where: Expr) -> Expr:
@@ -425,7 +442,7 @@ class Table:
         """Live entries that the filter (bound) cannot rule out by partition summaries, partition values or bounds."""
         kinds = self.partition_kinds()
         by_partition, chosen = self.partition_filter(where), []
-        for m in manifests_of(self.meta, snapshot):
+        for m in manifests_of(self, snapshot):
             s = {n: {k: value_from(x, kinds[n]) if k in ("lower", "upper") else x for k, x in v.items()} for n, v in m["summaries"].items()}
             if m["content"] == content and m["files"][0] + m["files"][1] and by_partition.may_match(s):
                 chosen.append(m)
@@ -568,7 +585,7 @@ class Table:
         wanted, found = set(ids), {}
         for s in self.meta["snapshots"]:
             if s["id"] in wanted:
-                found |= {m["path"]: m for m in s["manifests"] if m["snapshot"] == s["id"] and m["content"] == "data"}
+                found |= {m["path"]: m for m in manifests_of(self, s) if m["snapshot"] == s["id"] and m["content"] == "data"}
         return self.entries([*found.values()]).where("status <> 0")
 
     def changes(self, after: int | None = None, upto: int | None = None, inclusive: bool = False) -> DataFrame:
@@ -581,7 +598,7 @@ class Table:
         Snapshots with deletes of rows within files are an error.
         """
         span = [s for s in self.span(after, upto, inclusive) if s["operation"] != "replace"]
-        if any(m["content"] == "deletes" and m["snapshot"] == s["id"] for s in span for m in s["manifests"]):
+        if any(m["content"] == "deletes" and m["snapshot"] == s["id"] for s in span for m in manifests_of(self, s)):
             raise ValueError("changes cannot tell rows that were deleted within files")
         order = self.spark.createDataFrame([(s["id"], k) for k, s in enumerate(span)], "snapshot_id long, _change_ordinal int")
         tagged = self._added([s["id"] for s in span]).join(F.broadcast(order), "snapshot_id")
@@ -610,7 +627,7 @@ class Transaction:
         self.table, self.branch = table, branch
         self.view = Table(table.spark, table.root)
         self.base = copy.deepcopy(table.meta)
-        self.view.meta = copy.deepcopy(table.meta)
+        self.view.meta, self.view.lists = copy.deepcopy(table.meta), table.lists
         self.steps: list[tuple[Change | None, Callable[[Table], None]]] = []
         self.done = False
         ref = table.meta["refs"].get(branch)
@@ -942,7 +959,7 @@ class Transaction:
         sid, seq = uuid.uuid4().int >> 66, meta["sequence"] + 1
         kept, gone = [], []
         rewritten = self._less(t, parent, change.removed) if change.removed is not None else {}
-        for m in manifests_of(meta, parent):
+        for m in manifests_of(t, parent):
             if m["path"] not in rewritten:
                 kept.append(m)
             elif rewritten[m["path"]] is not None:
@@ -1011,7 +1028,7 @@ class Transaction:
         gone = removed.select(F.col("file_path").alias("_gone")).distinct()
         hit = [r["manifest"] for r in live.join(gone, F.col("file_path") == F.col("_gone"), "left_semi").select("manifest").distinct().collect()]
         out: dict[str, dict | None] = {}
-        for m in manifests_of(t.meta, parent):
+        for m in manifests_of(t, parent):
             if m["path"] in hit:
                 df = t.entries([m]).where("status <> 2").join(gone, F.col("file_path") == F.col("_gone"), "left")
                 df = df.withColumn("status", F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(F.lit(2))).withColumn("snapshot_id", F.when(F.col("_gone").isNull(), F.col("snapshot_id")))
@@ -1055,7 +1072,7 @@ class Transaction:
             time.sleep(min(wait, int(self.table.property("commit.retry.max-wait-ms"))) / 1000)
             wait *= 2
             again = Table(self.table.spark, self.table.root)
-            again.meta = copy.deepcopy(self.table.meta)
+            again.meta, again.lists = copy.deepcopy(self.table.meta), self.table.lists
             for change, step in self.steps:
                 if change is not None:
                     self._validate(again, change)
@@ -1078,7 +1095,7 @@ class Transaction:
         if before is not None and before not in ids:
             raise CommitConflict("the branch was moved to another line of snapshots")
         since = {s["id"] for s in line[: ids.index(before)]} if before is not None else set(ids)
-        fresh = [m for m in manifests_of(t.meta, head) if m["snapshot"] in since]
+        fresh = [m for m in manifests_of(t, head) if m["snapshot"] in since]
         if change.needs is not None:
             live = t.live(head).select("file_path")
             if change.needs.join(live, "file_path", "left_anti").limit(1).count():
@@ -1191,7 +1208,7 @@ class Scan:
         t = self.table
         planned = t.candidates(snapshot, bound, version=version)
         deletes = t.live(snapshot, "deletes")
-        some = any(m["content"] == "deletes" for m in manifests_of(t.meta, snapshot))
+        some = any(m["content"] == "deletes" for m in manifests_of(t, snapshot))
         dirty = t._dirty(planned, deletes) if some else None
         out = planned.join(dirty, "file_path", "left").withColumn("has_deletes", F.coalesce("_dirty", F.lit(False))).drop("_dirty") if dirty is not None else planned.withColumn("has_deletes", F.lit(False))
         whole = bound.must_match_column(stats_columns(t._ids(version)))
@@ -1208,7 +1225,7 @@ class Scan:
         """Rows of some planned tasks."""
         snapshot, version = self._chosen()
         t, bound = self.table, self._bound()
-        some = any(m["content"] == "deletes" for m in manifests_of(t.meta, snapshot))
+        some = any(m["content"] == "deletes" for m in manifests_of(t, snapshot))
         with _set(t.spark, self.options):
             out = t.read_entries(tasks, t.live(snapshot, "deletes") if some else None, version, self.lineage, bound)
         if bound != TRUE:
