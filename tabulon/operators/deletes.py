@@ -28,13 +28,19 @@ def equality_deletes(data: DataFrame, deletes: DataFrame, keys: Sequence[str], s
     return data.join(gone, reduce(Column.__and__, [*[F.col(quoted(k)).eqNullSafe(F.col(n)) for k, n in names.items()], *later]), "left_anti")
 
 
-def position_deletes(data: DataFrame, deletes: DataFrame, path: str = "file_path", pos: str = "pos", sequence: str | None = None) -> DataFrame:
-    """data (with path and pos columns) without the rows at deleted (path, pos). With a sequence column in both, only deletes of the same or a greater sequence apply."""
+def position_deletes(data: DataFrame, deletes: DataFrame, path: str = "file_path", pos: str = "pos", sequence: str | None = None, few: bool = False) -> DataFrame:
+    """data (with path and pos columns) without the rows at deleted (path, pos). With a sequence column in both, only deletes of the same or a greater sequence apply.
+
+    Files of positions and vectors are far smaller than their rows, so Spark
+    would broadcast millions of them through the driver: both sides are sorted
+    and merged instead, unless the caller knows that the deletes are few.
+    """
+    how = (lambda gone: gone) if few else (lambda gone: gone.hint("merge"))
     at = (F.col(path) == F.col("_tabulon_dpath")) & (F.col(pos) == F.col("_tabulon_dpos"))
     keys = [F.col(path).alias("_tabulon_dpath"), F.col(pos).alias("_tabulon_dpos")]
     if sequence is None:
-        return data.join(deletes.select(*keys).distinct(), at, "left_anti")
-    return data.join(deletes.groupBy(*keys).agg(F.max(sequence).alias("_tabulon_dseq")), at & (F.col("_tabulon_dseq") >= F.col(sequence)), "left_anti")
+        return data.join(how(deletes.select(*keys).distinct()), at, "left_anti")
+    return data.join(how(deletes.groupBy(*keys).agg(F.max(sequence).alias("_tabulon_dseq"))), at & (F.col("_tabulon_dseq") >= F.col(sequence)), "left_anti")
 
 
 def matching_files(files: DataFrame, deletes: DataFrame) -> DataFrame:

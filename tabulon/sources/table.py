@@ -44,6 +44,8 @@ DEFAULTS = {
 #: Columns that a scan adds to tell rows apart; a table cannot have them.
 _FILE, _POS, _SEQ, _SPEC = "_tabulon_file", "_tabulon_pos", "_tabulon_seq", "_tabulon_spec"
 _LINEAGE = {"_row_id": "bigint", "_last_updated_sequence_number": "bigint"}
+#: Up to so many rows about files are broadcast, and joins with up to so many deleted positions may be; both change cost only.
+_FEW_FILES, _FEW_POSITIONS = 20_000, 50_000
 
 
 def manifests_of(t: Table, snapshot: dict | None) -> list[dict]:
@@ -494,7 +496,7 @@ class Table:
                 extra += [F.col(c).alias(f"_own{c}") for c in _LINEAGE]
             df = df.select(*cols, *extra)
             if d:
-                df = self._without(df, planned, deletes)
+                df = self._without(df, planned, deletes, sum(map(len, groups.values())))
             parts.append(df)
         if not parts:
             kinds = [*schemas.plain(wanted).fields, *(StructType.fromDDL("_row_id bigint, _last_updated_sequence_number bigint").fields if lineage else []), *[planned.schema[t] for t in tags]]
@@ -513,7 +515,7 @@ class Table:
     def _delete_files(self, deletes: DataFrame) -> list:
         """What the driver needs to know of delete files, whose paths it hands to readers; asked for once."""
         if not hasattr(deletes, "_files"):
-            deletes._files = deletes.select("file_path", "content", "file_format", "schema_id", "sequence", "equality_ids", "spec_id", F.when(F.size("partition") > 0, self._partition_key()).alias("scope")).collect()
+            deletes._files = deletes.select("file_path", "content", "file_format", "schema_id", "sequence", "equality_ids", "spec_id", "record_count", F.when(F.size("partition") > 0, self._partition_key()).alias("scope")).collect()
         return deletes._files
 
     def _dirty(self, planned: DataFrame, deletes: DataFrame) -> DataFrame:
@@ -545,16 +547,16 @@ class Table:
         if not parts:
             return self.spark.createDataFrame([], "path string, pos long, seq long, delete_path string")
         seqs = self.spark.createDataFrame([(f["file_path"], f["sequence"]) for f in rows], "_d string, seq long")
-        return reduce(DataFrame.unionByName, parts).join(seqs, F.col("_f") == F.col("_d")).select("path", "pos", "seq", F.col("_f").alias("delete_path"))
+        return reduce(DataFrame.unionByName, parts).join(_beside(seqs, len(rows)), F.col("_f") == F.col("_d")).select("path", "pos", "seq", F.col("_f").alias("delete_path"))
 
-    def _without(self, df: DataFrame, planned: DataFrame, deletes: DataFrame) -> DataFrame:
-        """Rows (with file and position) without deleted ones."""
+    def _without(self, df: DataFrame, planned: DataFrame, deletes: DataFrame, count: int) -> DataFrame:
+        """Rows (with file and position) without deleted ones. count: files of planned."""
         files = self._delete_files(deletes)
         info = planned.select(F.col("file_path").alias("_f"), F.col("sequence").alias(_SEQ), F.struct("spec_id", self._partition_key().alias("p")).alias(_SPEC))
-        out = df.join(info, F.col(_FILE) == F.col("_f")).drop("_f")
+        out = df.join(_beside(info, count), F.col(_FILE) == F.col("_f")).drop("_f")
         if any(f["content"] == 1 for f in files):
             gone = self._positions(deletes).select(F.col("path").alias(_FILE), F.col("pos").alias(_POS), F.col("seq").alias(_SEQ))
-            out = position_deletes(out, gone, _FILE, _POS, _SEQ)
+            out = position_deletes(out, gone, _FILE, _POS, _SEQ, few=sum(f["record_count"] for f in files if f["content"] == 1) <= _FEW_POSITIONS)
         ids = schemas.by_id(self.full_schema())
         groups: dict[tuple, dict[int, list]] = {}
         for f in files:
@@ -611,6 +613,11 @@ class Table:
         return inspect(self, what)
 
 
+def _beside(rows: DataFrame, count: int) -> DataFrame:
+    """rows (about count, one a file) for a join with rows of the files: broadcast, so that a few large files are not shuffled to as few tasks, unless they are very many."""
+    return F.broadcast(rows) if count <= _FEW_FILES else rows
+
+
 def _now() -> int:
     return int(time.time() * 1000)
 
@@ -748,7 +755,7 @@ class Transaction:
             own = v.full_schema(number)
             df = v.spark.read.schema(schemas.plain(own)).option("__globPaths__", "false").parquet(*paths)
             df = df.select(*schemas.reader(own, v.full_schema()), row_path().alias(_FILE), F.col("_metadata.row_index").alias(_POS))
-            parts.append(v._without(df, planned, deletes) if some else df)
+            parts.append(v._without(df, planned, deletes, sum(map(len, groups.values()))) if some else df)
         if parts:
             return reduce(DataFrame.unionByName, parts)
         return v.spark.createDataFrame([], StructType([*v.schema().fields, *StructType.fromDDL(f"{_FILE} string, {_POS} long").fields]))

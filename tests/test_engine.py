@@ -65,6 +65,8 @@ def test_deletes(spark):
     assert [r.v for r in equality_deletes(data, gone, ["k"], "seq").collect()] == ["c"]
     rows = spark.createDataFrame([("f", 0), ("f", 1)], "file_path string, pos long")
     assert [r.pos for r in position_deletes(rows, spark.createDataFrame([("f", 0), ("g", 1)], "file_path string, pos long")).collect()] == [1]
+    plan = position_deletes(rows, spark.range(9).select(F.lit("f").alias("file_path"), F.col("id").alias("pos")))._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
 
 
 def test_table_versions(spark, tmp_path):

@@ -340,6 +340,16 @@ def test_bounds_of_dates_and_decimals_prune(spark, tmp_path):
     assert t.scan().filter(compare("s", ">", "x" * 31)).plan_files().count() == 0 and t.scan().filter(compare("x", "=", 77)).plan_files().count() == 1
 
 
+@pytest.mark.parametrize("version", ["2", "3"])
+def test_many_deleted_positions_are_not_broadcast(spark, tmp_path, version):
+    t = Table.create(spark, str(tmp_path / "t"), spark.range(1).schema, properties={"format-version": version})
+    t.append(spark.range(0, 100_000, 1, 1))
+    t.delete(compare("id", "<", 90_000), mode="merge-on-read")
+    df = t.scan().to_df()
+    assert sorted(r.id for r in df.collect()) == list(range(90_000, 100_000))
+    assert [("strategy=merge" in x) for x in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join LeftAnti" in x] == [True]
+
+
 @pytest.mark.parametrize("version", ["2", "3"])
 def test_merged_deletes(spark, tmp_path, version):
     t = table(spark, tmp_path / "t", "dt date, ts timestamp_ntz, number int, letter string", ROWS, partition=[("dt", "year")], properties={"format-version": version, "write.delete.mode": "merge-on-read"})
