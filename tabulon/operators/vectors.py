@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -107,24 +108,46 @@ def load(raw: bytes) -> np.ndarray:
 
 #: Positions of a file are packed in spans of so many rows, so that no task gets all deletes of a huge file at once.
 _SPAN = 1 << 24
+#: Positions that leave a worker as one row.
+_RUN = 1 << 13
 
 
 def vectors(rows: DataFrame, path: str, pos: str) -> DataFrame:
-    """file_path, cardinality and vector: one for each file and span of its rows. Spans are packed by applyInPandas, a group of at most _SPAN positions."""
+    """file_path, cardinality and vector: one for each file and span of its rows.
 
-    def pack(rows):
-        import pandas as pd
+    Rows are dealt by file and span, sorted and packed as they come: a worker
+    gets them batch by batch and keeps the positions of one span, 4 bytes each,
+    instead of a frame with all rows of a span and the path in each.
+    """
 
-        p = np.unique(rows["pos"].to_numpy(np.int64))
-        return pd.DataFrame({"file_path": [rows["file_path"].iloc[0]], "cardinality": [len(p)], "vector": [dump(p)]})
+    def packed(key: tuple, kept: list) -> pa.RecordBatch:
+        p = np.unique(np.concatenate(kept)).astype(np.int64) + key[1] * _SPAN
+        return pa.RecordBatch.from_pydict({"file_path": pa.array([key[0]], pa.string()), "cardinality": pa.array([len(p)], pa.int64()), "vector": pa.array([dump(p)], pa.binary())})
 
-    given = rows.select(F.col(path).alias("file_path"), F.col(pos).cast("long").alias("pos")).distinct()
-    spans = given.withColumn("span", F.floor(F.col("pos") / _SPAN))
-    return spans.groupBy("file_path", "span").applyInPandas(pack, "file_path string, cardinality long, vector binary")
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, kept = None, []
+        for b in batches:
+            if b.column(1).null_count:
+                raise ValueError("a position cannot be null")
+            runs, p = pc.run_end_encode(b.column(0)), b.column(1).to_numpy()
+            ends = runs.run_ends.to_numpy()
+            for name, own in zip(runs.values.to_pylist(), np.split(p, ends[:-1]) if len(p) else [], strict=True):
+                for part in np.split(own, np.flatnonzero(np.diff(own // _SPAN)) + 1):
+                    if key != (now := (name, int(part[0]) // _SPAN)):
+                        if kept:
+                            yield packed(key, kept)
+                        key, kept = now, []
+                    kept.append((part - now[1] * _SPAN).astype(np.uint32))
+        if kept:
+            yield packed(key, kept)
+
+    given = rows.select(F.col(path).alias("file_path"), F.col(pos).cast("long").alias("pos"))
+    dealt = given.repartition("file_path", F.shiftright("pos", _SPAN.bit_length() - 1)).sortWithinPartitions("file_path", "pos")
+    return dealt.mapInArrow(pack, "file_path string, cardinality long, vector binary")
 
 
 def positions(df: DataFrame, vector: str) -> DataFrame:
-    """df with a row for each position (pos) of its column vector, which goes."""
+    """df with a row for each position (pos) of its column vector, which goes. Workers return runs of positions; the other columns are repeated beside them by Spark."""
     names = [c for c in df.columns if c != vector]
     at = df.columns.index(vector)
 
@@ -132,10 +155,10 @@ def positions(df: DataFrame, vector: str) -> DataFrame:
         for b in batches:
             for i in range(b.num_rows):
                 p = load(b.column(at)[i].as_py())
-                for k in range(0, len(p), 1 << 16):
-                    part = p[k : k + (1 << 16)]
-                    same = [pa.array([b.column(n)[i].as_py()] * len(part), b.schema.field(n).type) for n in names]
-                    yield pa.RecordBatch.from_arrays([*same, pa.array(part, pa.int64())], names=[*names, "pos"])
+                same = [b.column(n).slice(i, 1) for n in range(b.num_columns) if n != at]
+                for k in range(0, len(p), _RUN):
+                    part = pa.array(p[k : k + _RUN], pa.int64())
+                    yield pa.RecordBatch.from_arrays([*same, pa.ListArray.from_arrays([0, len(part)], part)], names=[*names, "pos"])
 
-    kinds = StructType([*[df.schema[n] for n in names], *StructType.fromDDL("pos long").fields])
-    return df.mapInArrow(unpack, kinds)
+    kinds = StructType([*[df.schema[n] for n in names], *StructType.fromDDL("pos array<long>").fields])
+    return df.mapInArrow(unpack, kinds).withColumn("pos", F.explode("pos"))

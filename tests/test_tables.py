@@ -397,6 +397,20 @@ def test_vectors_round_trip():
     assert vectors._loaded32(memoryview(runs))[0].tolist() == [10, 11, 12, 13, 14]
 
 
+def test_vectors_are_packed_as_rows_come(spark):
+    rows = spark.range(0, 60_000, 1, 3).select(F.concat(F.lit("f"), F.col("id") % 3).alias("path"), (F.col("id") * 7 % 60_000 + F.when(F.col("id") % 4 == 0, 1 << 24).otherwise(0)).alias("pos"))
+    made = vectors.vectors(rows.unionByName(rows.limit(100)), "path", "pos")
+    back = vectors.positions(made.withColumn("n", F.lit(None).cast("int")), "vector")
+    assert back.columns == ["file_path", "cardinality", "n", "pos"] and got(back.select("file_path", "pos")) == got(rows)
+    assert got(made.select("file_path", "cardinality")) == sorted([(f"f{i}", n) for i in range(3) for n in (5_000, 15_000)], key=str)
+    plans = [df._jdf.queryExecution().sparkPlan().toString() for df in (made, back)]
+    assert not any("InPandas" in x for x in plans) and "Generate explode" in plans[1]  # no worker gets all rows of a span at once
+    assert vectors.vectors(rows.limit(0), "path", "pos").count() == 0
+    for bad in (-1, None):
+        with pytest.raises(Exception, match="a position cannot be"):
+            vectors.vectors(spark.createDataFrame([("f", 1), ("f", bad)], "path string, pos long"), "path", "pos").collect()
+
+
 def test_blobs_round_trip():
     given = [{"type": "a", "fields": [1], "data": b"xyz", "properties": {"k": "v"}}, {"type": "b", "fields": [], "data": b""}]
     for zipped in (False, True):
