@@ -116,6 +116,31 @@ def test_url_mass_equals_the_limit(spark):
     assert len(out) == 12
 
 
+@pytest.mark.parametrize(("shape", "most"), [("stars", 6), ("any", 25)])
+def test_url_rounds_are_few_and_exact(spark, monkeypatch, shape, most):
+    """Each write of ranks is a plan of its own, whose threads and metrics stay in the driver."""
+    n, draw, made = 60, np.random.default_rng(3), []
+    a = np.zeros((n, n))
+    if shape == "stars":
+        for i in range(3, n):
+            a[i, i % 3] = a[i % 3, i] = 1
+    else:  # some hosts have no links
+        a[draw.integers(n - 9, size=150), draw.integers(n, size=150)] = 1
+        np.fill_diagonal(a, 0)
+    a /= np.maximum(a.sum(1, keepdims=True), 1)
+    seeds = {"trust": draw.random(n) * (draw.random(n) < 0.3), "distrust": draw.random(n) * (draw.random(n) < 0.3)}
+    graph = {"trust": a, "distrust": a.T / np.maximum(a.sum(0)[:, None], 1e-9)}
+    rows = [(k, f"h{i}", float(v[i])) for k, v in seeds.items() for i in range(n)]
+    edges = [(k, f"h{i}", f"h{j}", float(g[i, j])) for k, g in graph.items() for i, j in zip(*np.nonzero(g))]
+    keep = urlfilter.Scratch.keep
+    monkeypatch.setattr(urlfilter.Scratch, "keep", lambda self, df: made.append(1) or keep(self, df))
+    out = urlfilter.propagate(spark.createDataFrame(rows, "kind string, host string, seed double"), spark.createDataFrame(edges, "kind string, src string, dst string, share double")).collect()
+    got = {(r.kind, r.host): r.mass for r in out}
+    off = [abs(got.get((k, f"h{i}"), 0.0) - x) for k, g in graph.items() for i, x in enumerate(np.linalg.solve(np.eye(n) - 0.85 * g.T, 0.15 * seeds[k]))]
+    assert sum(off) <= 1.1e-6 and min(got.values()) >= 0 and len(got) == len(out)
+    assert len(made) <= most
+
+
 def test_url_seeds_weigh_all_pages(spark):
     rows = [(i, f"http://few.com/{'en/' if i == 0 else 'ok/'}{i}", "") for i in range(40)] + [(100 + i, f"http://many.com/{'en/' if i < 20 else 'ok/'}{i}", "") for i in range(40)]
     got = {r.page_id: (r.verdict, r.distrust) for r in urlfilter.op4(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
